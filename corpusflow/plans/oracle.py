@@ -247,7 +247,7 @@ ORACLE: dict[str, str] = {
     "sliding_windows_every_token": f"WITH {STREAM} SELECT pos AS window_start, input_sum, first_input, last_label FROM (SELECT pos, token_id AS first_input, (sum(token_id) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING))::BIGINT AS input_sum, lead(token_id, 16) OVER (ORDER BY pos) AS last_label FROM stream) WHERE last_label IS NOT NULL",
     "next_token_labels": f"WITH {ENCODED} SELECT doc_id, {_joined('list_concat(input_ids[2:], [3])')} AS labels FROM encoded",
     "moving_average": f"WITH {LOG} SELECT name, round(avg(value), 6) AS moving_average FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ts DESC, event_id DESC) AS n FROM log) WHERE n <= 100 GROUP BY name",
-    "moving_average_series": f"WITH {LOG} SELECT name, event_id, round(avg(value) OVER (PARTITION BY name ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 6) AS moving_average FROM log",
+    "moving_average_series": f"WITH {LOG} SELECT name, event_id, round(avg(value) OVER (PARTITION BY name ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 9) AS moving_average FROM log",
     "best_so_far": f"WITH {LOSSES} SELECT run_id, step, value, best_before, best_before IS NULL OR value < best_before AS is_best FROM (SELECT *, min(value) OVER (PARTITION BY run_id ORDER BY ts, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM losses)",
     "early_stopping": f"WITH {LOSSES}, {_stops('ts, step')} SELECT run_id, step, counter, early_stop FROM stops",
     "early_stopping_with_delta": f"WITH {STOPS_WITH_DELTA} SELECT run_id, count(*) AS checks, bool_or(stop) AS stopped, coalesce(min(CASE WHEN stop THEN step END), -1) AS stop_step FROM fold GROUP BY run_id",

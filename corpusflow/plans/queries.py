@@ -519,7 +519,7 @@ def moving_average(spark, sf):
 @query
 def moving_average_series(spark, sf):
     series = runs.moving_average_series(metric_log(spark, sf), UPDATE)
-    return series.select("name", "event_id", rounded("moving_average").alias("moving_average"))
+    return series.select("name", "event_id", rounded("moving_average", 9).alias("moving_average"))
 
 
 @query
