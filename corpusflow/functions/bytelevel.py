@@ -60,8 +60,9 @@ def pieces_of(text: Column) -> Column:
 def byte_ids(text: Column) -> Column:
     """Base token ids of the UTF-8 bytes of `text`."""
     codes = constant_array([str(i) for i in base_ids()]).cast("array<int>")
-    digits = F.regexp_extract_all(F.hex(F.encode(text, "UTF-8")), F.lit("(..)"), 1)
-    return F.transform(digits, lambda d: F.element_at(codes, F.conv(d, 16, 10).cast("int") + 1))
+    # Read as Latin-1, every byte is the character of that code.
+    characters = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")
+    return F.transform(F.filter(characters, lambda c: c != ""), lambda c: F.element_at(codes, F.ascii(c) + 1))
 
 
 def text_of(ids: Column, tokens: list[str], skip: set[int]) -> Column:

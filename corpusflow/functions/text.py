@@ -6,11 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Unicode-aware stripping removes.
-STRIP_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+STRIP_CODES = [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+    0x3000,
+]
+STRIP_CHARACTERS = "".join(map(chr, STRIP_CODES))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{STRIP_CLASS}+|{STRIP_CLASS}+\\z", "")
+    return F.btrim(text, F.lit(STRIP_CHARACTERS))
 
 
 def clean_text(text: Column) -> Column:

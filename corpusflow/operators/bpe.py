@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import heapq
-from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from copy import copy
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +71,11 @@ def pretoken_counts(df: DataFrame, by_line: bool = True) -> DataFrame:
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent base symbols, weighted by the word counts: `(left, right, cnt)`."""
-    symbols = words.select(byte_ids(F.col("word")).alias("syms"), "cnt").filter(F.size("syms") > 1)
+    return _adjacent(words.select(byte_ids(F.col("word")).alias("syms"), "cnt"))
+
+
+def _adjacent(symbols: DataFrame) -> DataFrame:
+    symbols = symbols.filter(F.size("syms") > 1)
     pairs = F.zip_with(
         F.slice("syms", F.lit(1), F.size("syms") - 1),
         F.slice("syms", F.lit(2), F.size("syms") - 1),
@@ -116,52 +121,70 @@ def _joined(ids: list[int], pair: Pair, merged: int) -> list[int]:
     return out
 
 
-class _Words:
-    """Segmented words of one batch, indexed by those pairs in `wanted` that they hold (`None`: all pairs)."""
-
-    def __init__(self, words: Iterable[list[int]], counts: Iterable[float], pending: list[tuple[int, int, int]],
-                 wanted: set[Pair] | None = None):
-        order: dict[Pair, list[tuple[int, int]]] = defaultdict(list)
-        for rank, (left, right, merged) in enumerate(pending):
-            order[(left, right)].append((rank, merged))
-        self.syms = [_in_training_order(ids, order) for ids in words]
-        self.counts = list(counts)
-        self.wanted = wanted
-        self.holders: dict[Pair, set[int]] = defaultdict(set)
-        for i, ids in enumerate(self.syms):
-            self._index(i, ids)
-
-    def _index(self, i: int, ids: list[int]) -> None:
-        for pair in zip(ids, ids[1:]):
-            if self.wanted is None or pair in self.wanted:
-                self.holders[pair].add(i)
-
-    def merge(self, pair: Pair, merged: int) -> Counter:
-        """Merge `pair` in every word; return how the pair counts change."""
-        change: Counter = Counter()
-        for i in self.holders.pop(pair, ()):
-            old, count = self.syms[i], self.counts[i]
-            new = _joined(old, pair, merged)
-            if len(new) == len(old):
-                continue
-            self.syms[i] = new
-            for p in zip(old, old[1:]):
-                change[p] -= count
-            for p in zip(new, new[1:]):
-                change[p] += count
-            self._index(i, new)
-        return change
-
-
-def _in_training_order(ids: list[int], order: dict[Pair, list[tuple[int, int]]]) -> list[int]:
-    """Apply the merges one after the other; a pair may have been merged more than once."""
-    done = -1
-    while True:
-        later = [(step, p) for p in zip(ids, ids[1:]) if p in order for step in order[p] if step[0] > done]
-        if not later:
-            return ids
-        (done, merged), pair = min(later)
-        ids = _joined(ids, pair, merged)
+_END = -1  # closes every word in the flat form
+
+
+class _Symbols:
+    """Segmented words of one batch as one flat array, with the word's count at every place."""
+
+    def __init__(self, values: np.ndarray, offsets: np.ndarray, counts: np.ndarray):
+        lengths = np.diff(offsets)
+        self.flat = np.full(len(values) + len(lengths), _END, np.int64)
+        ends = np.cumsum(lengths + 1) - 1
+        inside = np.ones(len(self.flat), bool)
+        inside[ends] = False
+        self.flat[inside] = values
+        self.weight = np.repeat(counts, lengths + 1)
+
+    @staticmethod
+    def of_batch(batch: pa.RecordBatch) -> "_Symbols":
+        ids = batch.column("ids")
+        offsets = ids.offsets.to_numpy()
+        values = ids.values.to_numpy()[offsets[0]:offsets[-1]]
+        return _Symbols(values, offsets, batch.column("cnt").to_numpy())
+
+    def lists(self) -> pa.ListArray:
+        inside = self.flat != _END
+        offsets = np.concatenate(([0], np.cumsum(inside)[~inside])).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.flat[inside].astype(np.int32)))
+
+    def _places(self, pair: Pair) -> np.ndarray:
+        """Where `pair` is merged, left to right without overlap."""
+        hits = np.flatnonzero((self.flat[:-1] == pair[0]) & (self.flat[1:] == pair[1]))
+        if pair[0] == pair[1] and len(hits):
+            fresh = np.concatenate(([True], np.diff(hits) != 1))
+            run_start = hits[fresh][np.cumsum(fresh) - 1]
+            hits = hits[(hits - run_start) % 2 == 0]
+        return hits
+
+    def merge(self, pair: Pair, merged: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge `pair` in every word; return the pairs whose counts change, and by how much."""
+        places = self._places(pair)
+        if not len(places):
+            return places, places, places
+        before = self._pairs_at(np.concatenate((places - 1, places, places + 1)))
+        self.flat[places] = merged
+        keep = np.ones(len(self.flat), bool)
+        keep[places + 1] = False
+        self.flat, self.weight = self.flat[keep], self.weight[keep]
+        moved = places - np.arange(len(places))
+        after = self._pairs_at(np.concatenate((moved - 1, moved)))
+        codes = np.concatenate((before[0], after[0]))
+        deltas = np.concatenate((-before[1], after[1]))
+        order = np.argsort(codes, kind="stable")
+        codes, deltas = codes[order], deltas[order]
+        starts = np.flatnonzero(np.concatenate(([True], np.diff(codes) != 0)))
+        totals = np.add.reduceat(deltas, starts)
+        changed = totals != 0
+        codes = codes[starts][changed]
+        return codes >> 32, codes & 0xFFFFFFFF, totals[changed]
+
+    def _pairs_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        places = np.unique(places)
+        places = places[(places >= 0) & (places < len(self.flat) - 1)]
+        left, right = self.flat[places], self.flat[places + 1]
+        real = (left != _END) & (right != _END)
+        return left[real] << 32 | right[real], self.weight[places][real]
 
 
 class _PairQueue:
@@ -188,28 +211,21 @@ class _PairQueue:
         return None
 
 
-def _lists(column: pa.Array) -> list[list[int]]:
-    bounds, flat = column.offsets.to_pylist(), column.values.to_pylist()
-    return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
-
-
 def _replay(pending: list[tuple[int, int, int]], plan: list[tuple[int, int, int]]):
     """Per batch of words: the pair-count changes each planned merge would make."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = {(left, right) for left, right, _ in plan}
         for batch in batches:
-            words = _Words(_lists(batch.column("ids")), batch.column("cnt").to_pylist(), pending, wanted)
-            rows = [
-                (step, left_sym, right_sym, delta)
-                for step, (left, right, merged) in enumerate(plan)
-                for (left_sym, right_sym), delta in words.merge((left, right), merged).items()
-                if delta
-            ]
-            columns = list(zip(*rows)) or [[], [], [], []]
+            words = _Symbols.of_batch(batch)
+            for left, right, merged in pending:
+                words.merge((left, right), merged)
+            found = [words.merge((left, right), merged) for left, right, merged in plan]
+            steps = np.repeat(np.arange(len(plan)), [len(c[0]) for c in found])
+            columns = [steps, *(np.concatenate(c) for c in zip(*found))]
             types = (pa.int32(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["step", "left", "right", "delta"]
+                [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types)],
+                names=["step", "left", "right", "delta"],
             )
 
     return run
@@ -218,9 +234,10 @@ def _replay(pending: list[tuple[int, int, int]], plan: list[tuple[int, int, int]
 def _apply(pending: list[tuple[int, int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = _Words(_lists(batch.column("ids")), (), pending, set())
-            ids = pa.array(words.syms, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([ids, batch.column("cnt")], names=["ids", "cnt"])
+            words = _Symbols.of_batch(batch)
+            for left, right, merged in pending:
+                words.merge((left, right), merged)
+            yield pa.RecordBatch.from_arrays([words.lists(), batch.column("cnt")], names=["ids", "cnt"])
 
     return run
 
@@ -245,7 +262,7 @@ def train_bpe_on_words(words: DataFrame, vocab_size: int = 5000, min_frequency:
     counted = materialize(words.filter(F.octet_length("word") > 1), "counts")
     table = materialize(_spread(counted.select(byte_ids(F.col("word")).alias("ids"), "cnt")), "words")
     guide = _guide(counted, guide_words)
-    exact = {(r["left"], r["right"]): r["cnt"] for r in pair_counts(counted).collect()}
+    exact = {(r["left"], r["right"]): r["cnt"] for r in _adjacent(table.withColumnRenamed("ids", "syms")).collect()}
 
     tokenizer, folded, size = Tokenizer.base(), 0, FIRST_BATCH
     while tokenizer.vocab_size < vocab_size:
@@ -271,8 +288,8 @@ def train_bpe_on_words(words: DataFrame, vocab_size: int = 5000, min_frequency:
             taken.append(top[0])
             queue.update(change)
         tokenizer = tokenizer.extended(taken)
-        latest = list(tokenizer.merges[len(tokenizer.merges) - len(taken):])
-        guide = list(zip(_Words((ids for ids, _ in guide), (), latest, set()).syms, (count for _, count in guide)))
+        for left, right, merged in tokenizer.merges[len(tokenizer.merges) - len(taken):]:
+            guide.merge((left, right), merged)
         size = min(size * 2, LARGEST_BATCH) if len(taken) == len(plan) else max(2 * len(taken), FIRST_BATCH)
     return tokenizer
 
@@ -283,30 +300,33 @@ def _spread(words: DataFrame) -> DataFrame:
     return words.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _guide(words: DataFrame, n: int) -> list[tuple[list[int], float]]:
+def _guide(words: DataFrame, n: int) -> _Symbols:
     """Words that stand for all: the `n` most frequent, and `n` of the others by hash, weighted up."""
+    base = np.array(base_ids())
     top = words.orderBy(F.desc("cnt"), "word").limit(n).collect()
     total = words.count()
-    base = base_ids()
-    guide = [([base[b] for b in r["word"].encode()], float(r["cnt"])) for r in top]
+    chosen = [(r["word"], float(r["cnt"])) for r in top]
     if total > n:
         last = top[-1]
         rest = words.filter(
             (F.col("cnt") < last["cnt"]) | ((F.col("cnt") == last["cnt"]) & (F.col("word") > last["word"]))
         )
         sample = rest.orderBy(F.xxhash64("word"), "word").limit(n).collect()
-        weight = (total - n) / max(len(sample), 1)
-        guide += [([base[b] for b in r["word"].encode()], r["cnt"] * weight) for r in sample]
-    return guide
+        chosen += [(r["word"], r["cnt"] * (total - n) / len(sample)) for r in sample]
+    spelled = [word.encode() for word, _ in chosen]
+    offsets = np.cumsum([0, *map(len, spelled)])
+    values = base[np.frombuffer(b"".join(spelled), np.uint8)]
+    return _Symbols(values, offsets, np.array([count for _, count in chosen], float))
 
 
-def _plan(tokenizer: Tokenizer, exact: dict[Pair, int], guide: list[tuple[list[int], float]], vocab_size: int,
-          min_frequency: int, size: int) -> list[tuple[int, int, int]]:
+def _plan(tokenizer: Tokenizer, exact: dict[Pair, int], guide: _Symbols, vocab_size: int, min_frequency: int,
+          size: int) -> list[tuple[int, int, int]]:
     """Likely next merges: exact counts now, later changes estimated from the guide words.
 
     The first of them is exact, so every pass takes at least one merge.
     """
-    words = _Words((ids for ids, _ in guide), (count for _, count in guide), [])
+    words = copy(guide)  # merging replaces the arrays, but writes into the first one
+    words.flat = guide.flat.copy()
     queue = _PairQueue(dict(exact))
     grown = _Growing(tokenizer)
     plan: list[tuple[int, int, int]] = []
@@ -316,7 +336,7 @@ def _plan(tokenizer: Tokenizer, exact: dict[Pair, int], guide: list[tuple[list[i
             break
         pair, count = top
         plan.append((*pair, grown.add(pair)))
-        change = words.merge(pair, plan[-1][2])
+        change = {(a, b): d for a, b, d in zip(*(c.tolist() for c in words.merge(pair, plan[-1][2])))}
         seen = -change.pop(pair, 0)
         scale = count / seen if seen > 0 else 0.0
         estimate = {p: round(delta * scale) for p, delta in change.items()}

@@ -6,8 +6,9 @@ against a public tokenizer package, and through the texts they decode to.
 
 from __future__ import annotations
 
-from corpusflow.functions.text import STRIP_CLASS
+from corpusflow.functions.text import STRIP_CODES
 
+_STRIP = "[" + "".join(rf"\x{{{code:x}}}" for code in STRIP_CODES) + "]"
 # Fixed value: characters with the White_Space property.
 _SPACE = r"\t-\r \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _WORDS = (
@@ -16,7 +17,7 @@ _WORDS = (
 
 
 def _cleaned(text: str = "text") -> str:
-    strip = f"regexp_replace(regexp_replace(l, '^{STRIP_CLASS}+', ''), '{STRIP_CLASS}+$', '')"
+    strip = f"regexp_replace(regexp_replace(l, '^{_STRIP}+', ''), '{_STRIP}+$', '')"
     lines = f"list_transform(string_split({text}, chr(10)), lambda l: {strip})"
     return f"replace(array_to_string(list_filter({lines}, lambda l: l <> ''), ' '), '  ', ' ')"
 
