@@ -17,7 +17,7 @@ from corpusflow.functions.sequences import SPECIAL_TOKENS
 from corpusflow.scratch import materialize
 
 Pair = tuple[int, int]
-GUIDE_WORDS = 10_000
+GUIDE_WORDS = 50_000
 FIRST_BATCH, LARGEST_BATCH = 64, 512
 FOLD_AFTER = 256
 
