@@ -301,18 +301,22 @@ def _spread(words: DataFrame) -> DataFrame:
 
 
 def _guide(words: DataFrame, n: int) -> _Symbols:
-    """Words that stand for all: the `n` most frequent, and `n` of the others by hash, weighted up."""
+    """Words that stand for all: about the `n` most frequent, and `n` of the others by hash, weighted up.
+
+    Both are found by a filter on each row, and both are bounded by `2 * n`.
+    """
     base = np.array(base_ids())
-    top = words.orderBy(F.desc("cnt"), "word").limit(n).collect()
     total = words.count()
+    share = min(n / max(total, 1), 1.0)
+    least = words.agg(F.percentile_approx("cnt", 1.0 - share)).first()[0] if share < 1.0 else 0
+    top = words.filter(F.col("cnt") > least).limit(2 * n).collect() if total else []
     chosen = [(r["word"], float(r["cnt"])) for r in top]
-    if total > n:
-        last = top[-1]
-        rest = words.filter(
-            (F.col("cnt") < last["cnt"]) | ((F.col("cnt") == last["cnt"]) & (F.col("word") > last["word"]))
-        )
-        sample = rest.orderBy(F.xxhash64("word"), "word").limit(n).collect()
-        chosen += [(r["word"], r["cnt"] * (total - n) / len(sample)) for r in sample]
+    rest = total - len(top)
+    if rest > 0:
+        buckets = 1 << 30
+        drawn = F.pmod(F.xxhash64("word"), F.lit(buckets)) < int(buckets * min(n / rest, 1.0))
+        sample = words.filter((F.col("cnt") <= least) & drawn).limit(2 * n).collect()
+        chosen += [(r["word"], r["cnt"] * rest / len(sample)) for r in sample]
     spelled = [word.encode() for word, _ in chosen]
     offsets = np.cumsum([0, *map(len, spelled)])
     values = base[np.frombuffer(b"".join(spelled), np.uint8)]

@@ -42,7 +42,7 @@ def _append_running_sum(weight: str) -> Callable[[Iterator[pa.RecordBatch]], Ite
 def ordered_layout(
     df: DataFrame,
     keys: Sequence[str],
-    position: str = "position",
+    position: str | None = "position",
     weight: str | None = None,
     start: str = "start",
     derive: Callable[[DataFrame], DataFrame] | None = None,
@@ -50,7 +50,8 @@ def ordered_layout(
     """Rows of `df` with their 0-based global `position` in key order.
 
     With `weight` (a non-negative whole-number column) also `start`, the sum of
-    the weights of all earlier rows. `_part` names the range a row lies in.
+    the weights of all earlier rows. `_part` names the range a row lies in; with
+    neither a position nor a weight it is the only column added.
 
     Range partitioning computes its input twice, once to sample the keys. Costly
     columns belong in `derive`, which runs once on the sorted rows; it must keep
@@ -67,6 +68,8 @@ def ordered_layout(
     local = numbered.withColumn(PART, F.shiftright("_row", _ROW_BITS).cast("int")).withColumn(
         _LOCAL, F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     )
+    if position is None and weight is None:
+        return materialize(local.drop("_row", _LOCAL), "layout")
     table = materialize(local.drop("_row"), "layout")
 
     sums = [F.count("*").alias("_rows")]
@@ -81,7 +84,9 @@ def ordered_layout(
     offsets = offsets.select(PART, *earlier)
 
     placed = table.join(F.broadcast(offsets), PART)
-    out = [*columns, (F.col(_LOCAL) + F.col("_rows_before")).alias(position)]
+    out = list(columns)
+    if position is not None:
+        out.append((F.col(_LOCAL) + F.col("_rows_before")).alias(position))
     if weight is not None:
         out.append((F.col(_LOCAL_WEIGHT) + F.col("_weight_before")).alias(start))
     return placed.select(*out, PART)
@@ -169,7 +174,23 @@ def scan(
     return scanned.join(carried, segment).select(*layout.columns, *result)
 
 
+def newest_per_group(df: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:
+    """The last `n` rows of each group in the given order.
+
+    For a small `n` Spark applies the rank limit before the shuffle, so a task
+    passes on at most `n` rows of a group. Beyond the limit's threshold positions
+    are compared with the group's end instead.
+    """
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        newest = Window.partitionBy(group).orderBy(*[F.col(k).desc() for k in order])
+        ranked = df.withColumn("_rank", F.row_number().over(newest))
+        return ranked.filter(F.col("_rank") <= n).drop("_rank")
+    rows = ordered_layout(df, [group, *order], position="_position")
+    ends = rows.groupBy(group).agg(F.max("_position").alias("_last"))
+    return rows.join(ends, group).filter(F.col("_position") > F.col("_last") - n).select(*df.columns)
+
+
 def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "row") -> DataFrame:
     """0-based position of each row inside its group, for groups of any size."""
-    layout = ordered_layout(df, [*group, *order]).drop("position")
+    layout = ordered_layout(df, [*group, *order], position=None)
     return scan(layout, group, order, {name: ("sum", F.lit(1).cast("bigint"))}).drop(PART)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.operators.ordering import PART, group_positions, ordered_layout, scan
+from corpusflow.operators.ordering import PART, group_positions, newest_per_group, ordered_layout, scan
 from corpusflow.scratch import materialize
 
 MOVING_WINDOW = 100
@@ -54,9 +54,7 @@ def metric_current_wide(log: DataFrame, keys: Sequence[str], names: Sequence[str
 
 def moving_average(log: DataFrame, keys: Sequence[str], window: int = MOVING_WINDOW) -> DataFrame:
     """Mean of the last `window` values of every metric."""
-    newest = Window.partitionBy("name").orderBy(*[F.col(k).desc() for k in keys])
-    # The rank limit runs before the shuffle: a task passes on at most `window` rows per metric.
-    last = log.select("name", "value", F.row_number().over(newest).alias("_rank")).filter(F.col("_rank") <= window)
+    last = newest_per_group(log.select("name", *keys, "value"), "name", keys, window)
     return last.groupBy("name").agg(F.avg("value").alias("moving_average"))
 
 
@@ -82,7 +80,7 @@ def moving_average_series(log: DataFrame, keys: Sequence[str], window: int = MOV
 
 def best_so_far(log: DataFrame, run: str, keys: Sequence[str], loss: str) -> DataFrame:
     """Smallest earlier loss of the run, and whether this row is strictly below it."""
-    layout = ordered_layout(log.select(run, *keys, loss), [run, *keys]).drop("position")
+    layout = ordered_layout(log.select(run, *keys, loss), [run, *keys], position=None)
     scanned = scan(layout, [run], keys, {"best_before": ("min", F.col(loss))}).drop(PART)
     better = F.col("best_before").isNull() | (F.col(loss) < F.col("best_before"))
     return scanned.withColumn("is_best", better)
@@ -123,7 +121,7 @@ def early_stopping(
     minimum is scanned first, in parallel. With `min_delta` 0 it decides alone;
     otherwise a fold with constant state picks from those few candidates.
     """
-    layout = ordered_layout(log.select(run, *keys, loss), [run, *keys]).drop("position")
+    layout = ordered_layout(log.select(run, *keys, loss), [run, *keys], position=None)
     scanned = scan(
         layout, [run], keys, {"_least": ("min", F.col(loss)), "_row": ("sum", F.lit(1).cast("bigint"))}
     )
@@ -165,9 +163,7 @@ def early_stopping_summary(log: DataFrame, run: str, step: str, loss: str, patie
 def checkpoint_retention(catalog: DataFrame, run: str = "run_id", step: str = "step",
                          max_checkpoints: int = 5) -> DataFrame:
     """The newest `max_checkpoints` of each run."""
-    newest = Window.partitionBy(run).orderBy(F.col(step).desc())
-    ranked = catalog.withColumn("_rank", F.row_number().over(newest))
-    return ranked.filter(F.col("_rank") <= max_checkpoints).drop("_rank")
+    return newest_per_group(catalog, run, [step], max_checkpoints)
 
 
 def resolve_checkpoint(catalog: DataFrame, explicit: str | None = None, load_best: bool = False,

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.functions.logits import let
 from corpusflow.functions.text import clean_text, length_between
 from corpusflow.operators.ordering import PART, head_per_group, head_rows, ordered_layout
 
@@ -48,8 +49,10 @@ def extract_samples(
     longest: int = MAX_LENGTH,
 ) -> DataFrame:
     """Cleaned samples of allowed length among the first `max_samples` rows scanned."""
-    named = with_text_column(df).select(*keys, "text")
-    return filter_length(clean(head_rows(named, keys, max_samples)), shortest, longest)
+    named = head_rows(with_text_column(df).select(*keys, "text"), keys, max_samples)
+    # A generator cleans each text once, where a filter on the cleaned text would repeat the cleaning.
+    fitting = F.filter(F.array(clean_text(F.col("text"))), lambda t: length_between(t, shortest, longest))
+    return named.select(*keys, F.explode(fitting).alias("text"))
 
 
 def validation_cap(max_samples: int | None) -> int | None:
@@ -58,7 +61,7 @@ def validation_cap(max_samples: int | None) -> int | None:
 
 def retention(df: DataFrame, shortest: int = MIN_LENGTH, longest: int = MAX_LENGTH) -> DataFrame:
     """Rows scanned, rows kept by the length filter and their ratio."""
-    kept = F.count_if(length_between(clean_text(F.col("text")), shortest, longest))
+    kept = F.count_if(let(clean_text(F.col("text")), lambda t: length_between(t, shortest, longest)))
     return df.agg(F.count("*").alias("scanned"), kept.alias("kept")).withColumn(
         "rate", F.try_divide(F.col("kept"), F.col("scanned"))
     )
@@ -133,5 +136,18 @@ def union_files(parts: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
 
 
 def tokenizer_corpus(parts: Sequence[tuple[DataFrame, Sequence[str]]], max_examples: int | None = None) -> DataFrame:
-    """Non-empty texts of all parts, in order, one cap over all of them."""
-    return head_rows(non_empty(union_files(parts)), ["file_no", "line_no"], max_examples)
+    """Non-empty texts of all parts, one cap over all of them in their order.
+
+    Training counts words, so the texts themselves are not ordered: a cap falls
+    into one part, and only the keys of that part are.
+    """
+    texts, left = [], max_examples
+    for part, keys in parts:
+        rows = non_empty(with_text_column(part).select(*keys, "text"))
+        if left is not None:
+            found = rows.count()
+            rows, left = (rows, left - found) if found <= left else (head_rows(rows, keys, left), 0)
+        texts.append(rows.select("text"))
+        if left == 0:
+            break
+    return reduce(DataFrame.unionByName, texts)

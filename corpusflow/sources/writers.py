@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusflow.operators.runs import checkpoint_retention
@@ -31,8 +31,10 @@ def write_small_bundle(samples: DataFrame, path: str, keys: tuple[str, ...] = ("
 
 def write_tokenizer_corpus(corpus: DataFrame, path: str) -> int:
     """One text per line, as training reads it; returns how many were written."""
-    corpus.select("text").write.option("lineSep", "\n").text(path)
-    return corpus.count()
+    written = Observation()
+    counted = corpus.select("text").observe(written, F.count(F.lit(1)).alias("n"))
+    counted.write.option("lineSep", "\n").text(path)
+    return written.get["n"]
 
 
 def write_eval_results(results: dict[str, DataFrame], path: str) -> None:

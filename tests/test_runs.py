@@ -111,3 +111,11 @@ def test_throughput(spark):
     assert (epoch["r"]["tokens_per_epoch"], epoch["r"]["seconds_per_epoch"], epoch["z"]["seconds_per_epoch"]) == (320, 1.6, None)
     losses = spark.createDataFrame([(0, 2.0), (0, 4.0), (1, 1.0)], "epoch int, loss double")
     assert {r["epoch"]: r["epoch_loss"] for r in runs.epoch_loss(losses).collect()} == {0: 3.0, 1: 1.0}
+
+
+def test_newest_rows_beyond_the_rank_limit(spark):
+    rows = [("hot", i, float(i)) for i in range(3000)] + [("rare", i, float(i)) for i in range(5)]
+    table = log(spark, rows).repartition(4)
+    for window in (1000, 2000):
+        last = {r["name"]: r["moving_average"] for r in runs.moving_average(table, ["step"], window).collect()}
+        assert last == {"hot": sum(range(3000 - window, 3000)) / window, "rare": 2.0}
