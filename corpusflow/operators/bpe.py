@@ -71,11 +71,7 @@ def pretoken_counts(df: DataFrame, by_line: bool = True) -> DataFrame:
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent base symbols, weighted by the word counts: `(left, right, cnt)`."""
-    return _adjacent(words.select(byte_ids(F.col("word")).alias("syms"), "cnt"))
-
-
-def _adjacent(symbols: DataFrame) -> DataFrame:
-    symbols = symbols.filter(F.size("syms") > 1)
+    symbols = words.select(byte_ids(F.col("word")).alias("syms"), "cnt").filter(F.size("syms") > 1)
     pairs = F.zip_with(
         F.slice("syms", F.lit(1), F.size("syms") - 1),
         F.slice("syms", F.lit(2), F.size("syms") - 1),
@@ -169,15 +165,10 @@ class _Symbols:
         self.flat, self.weight = self.flat[keep], self.weight[keep]
         moved = places - np.arange(len(places))
         after = self._pairs_at(np.concatenate((moved - 1, moved)))
-        codes = np.concatenate((before[0], after[0]))
-        deltas = np.concatenate((-before[1], after[1]))
-        order = np.argsort(codes, kind="stable")
-        codes, deltas = codes[order], deltas[order]
-        starts = np.flatnonzero(np.concatenate(([True], np.diff(codes) != 0)))
-        totals = np.add.reduceat(deltas, starts)
-        changed = totals != 0
-        codes = codes[starts][changed]
-        return codes >> 32, codes & 0xFFFFFFFF, totals[changed]
+        return _summed(np.concatenate((before[0], after[0])), np.concatenate((-before[1], after[1])))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _summed(*self._pairs_at(np.arange(len(self.flat) - 1)))
 
     def _pairs_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         places = np.unique(places)
@@ -187,6 +178,19 @@ class _Symbols:
         return left[real] << 32 | right[real], self.weight[places][real]
 
 
+def _summed(codes: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Total per pair, without the pairs that come to nothing."""
+    if not len(codes):
+        return codes, codes, amounts
+    order = np.argsort(codes, kind="stable")
+    codes, amounts = codes[order], amounts[order]
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(codes) != 0)))
+    totals = np.add.reduceat(amounts, starts)
+    some = totals != 0
+    codes = codes[starts][some]
+    return codes >> 32, codes & 0xFFFFFFFF, totals[some]
+
+
 class _PairQueue:
     """Pair counts with the best pair at hand; at most one entry per pair of vocabulary entries."""
 
@@ -211,6 +215,14 @@ class _PairQueue:
         return None
 
 
+def _pairs_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = _Symbols.of_batch(batch).pairs()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c.astype(t), t) for c, t in zip(columns, ("int32", "int32", "int64"))], names=["left", "right", "cnt"]
+        )
+
+
 def _replay(pending: list[tuple[int, int, int]], plan: list[tuple[int, int, int]]):
     """Per batch of words: the pair-count changes each planned merge would make."""
 
@@ -259,10 +271,13 @@ def train_bpe_on_words(words: DataFrame, vocab_size: int = 5000, min_frequency:
     wrong but the result may not. Pair counts are bounded by the square of the
     vocabulary size.
     """
-    counted = materialize(words.filter(F.octet_length("word") > 1), "counts")
-    table = materialize(_spread(counted.select(byte_ids(F.col("word")).alias("ids"), "cnt")), "words")
-    guide = _guide(counted, guide_words)
-    exact = {(r["left"], r["right"]): r["cnt"] for r in _adjacent(table.withColumnRenamed("ids", "syms")).collect()}
+    several = words.filter(F.octet_length("word") > 1)
+    spelled = materialize(_spread(several.select("word", byte_ids(F.col("word")).alias("ids"), "cnt")), "words")
+    guide = _guide(spelled.select("word", "cnt"), guide_words)
+    table = spelled.select("ids", "cnt")
+    pairs = table.mapInArrow(_pairs_of_words, "left int, right int, cnt bigint")
+    totals = pairs.groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
+    exact = {(r["left"], r["right"]): r["cnt"] for r in totals.collect()}
 
     tokenizer, folded, size = Tokenizer.base(), 0, FIRST_BATCH
     while tokenizer.vocab_size < vocab_size:

@@ -39,6 +39,10 @@ def _append_running_sum(weight: str) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return run
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ordered_layout(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,9 +61,11 @@ def ordered_layout(
     columns belong in `derive`, which runs once on the sorted rows; it must keep
     the keys, the rows and their order.
     """
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-    if derive is not None:
-        ranged = derive(ranged)
+    columns = [F.col(k) for k in keys]
+    if derive is None:
+        ranged = df.repartitionByRange(*columns).sortWithinPartitions(*keys)
+    else:  # a fixed number of ranges: work to come is not seen in the size of the shuffled rows
+        ranged = derive(df.repartitionByRange(shuffle_partitions(df), *columns).sortWithinPartitions(*keys))
     columns = ranged.columns
     if weight is not None:
         schema = T.StructType([*ranged.schema.fields, T.StructField(_LOCAL_WEIGHT, T.LongType(), False)])

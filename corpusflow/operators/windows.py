@@ -11,7 +11,7 @@ from corpusflow.functions.hashing import digest
 from corpusflow.functions.sequences import add_special_tokens
 from corpusflow.operators.bpe import Tokenizer
 from corpusflow.operators.encode import encode_ids
-from corpusflow.operators.ordering import PART, ordered_layout
+from corpusflow.operators.ordering import PART, ordered_layout, shuffle_partitions
 
 BLOCK_TOKENS = 65_536
 
@@ -66,6 +66,8 @@ def sliding_windows(stream: DataFrame, length: int, stride: int = 1, block: int
 
     numbers = F.sequence(first.cast("bigint"), last.cast("bigint"))
     pieces = stream.filter(n > 0).select(F.inline(F.transform(numbers, cut))).filter(F.size("piece") > 0)
+    # Windows multiply the rows after the shuffle, so its partitions are not merged by their size before that.
+    pieces = pieces.repartition(shuffle_partitions(pieces), "block")
     joined = pieces.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("low", "piece"))).alias("pieces"))
     tokens = joined.select("block", F.flatten(F.col("pieces.piece")).alias("tokens"))
     available = F.size("tokens") - length  # windows that can start in this block

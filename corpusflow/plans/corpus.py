@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from corpusflow.operators.bpe import Tokenizer, train_bpe
 from corpusflow.operators.samples import (
@@ -55,8 +55,9 @@ def make_training_batches(
     training: bool = True,
     seed: int = 0,
     epoch: int = 0,
+    collate: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """`(batch_id, slot, window_start, input_ids, labels)`.
+    """`(batch_id, slot, window_start, input_ids, labels)`, and the columns that `collate` computes from these.
 
     Training examples are shuffled and an incomplete last batch is dropped;
     otherwise they stay in stream order and all are kept. Stride 1 repeats every
@@ -68,4 +69,5 @@ def make_training_batches(
         batches = assign_batches(shuffled, ["shuffle_key", "window_start"], batch_size, drop_last=True)
     else:
         batches = assign_batches(windows, ["window_start"], batch_size, drop_last=False)
-    return batches.select("batch_id", "slot", "window_start", "input_ids", "labels")
+    batches = batches.select("batch_id", "slot", "window_start", "input_ids", "labels")
+    return batches.withColumns(collate) if collate else batches

@@ -283,6 +283,7 @@ ORACLE: dict[str, str] = {
     "masked_lm_inputs": f"WITH {MASKED} SELECT doc_id, {_joined('masked.input_ids')} AS input_ids, {_joined('fitted.input_ids')} AS labels, {_FIT_MASKS} FROM fitted JOIN masked USING (doc_id)",
     "masked_token_count": f"WITH {MASKED} SELECT count(*) AS masked_tokens FROM changed WHERE id = 2",
     "example_audit": f"WITH {MASKED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE list_contains(input_ids, 2)) AS with_mask, count(*) FILTER (WHERE len(input_ids) = 64) AS of_length, count(*) AS labels_fit FROM masked",
+    "custom_collation": f"WITH {WINDOWS} SELECT window_start, array_to_string(list_transform(range(128), lambda i: '1'), ' ') AS attention_mask, split_part(labels, ' ', 1)::INTEGER AS first_label FROM windows",
     "alignment_check": "SELECT true AS aligned",
     "sample_next_token": f"WITH {_sampling('0.7', 40, '0.9')}, cumulated AS (SELECT *, sum(p) OVER (PARTITION BY vec_id ORDER BY place) AS upto, {_uniform('''md5('11|' || vec_id)''')} AS u FROM nucleus) SELECT vec_id, coalesce(arg_min(CASE WHEN upto > u THEN idx END, CASE WHEN upto > u THEN place END), arg_max(idx, place))::INTEGER AS next_token FROM cumulated GROUP BY vec_id",
     "training_batches": f"WITH {WINDOWS}, placed AS (SELECT *, row_number() OVER (ORDER BY md5('5|0|' || window_start), window_start) - 1 AS n, count(*) OVER () AS total FROM windows) SELECT n // 16 AS batch_id, (n % 16)::INTEGER AS slot, window_start, input_ids, labels FROM placed WHERE n // 16 < total // 16",

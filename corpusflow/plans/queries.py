@@ -23,7 +23,7 @@ from corpusflow.operators import bpe, encode, evaluation, examples, runs, sample
 from corpusflow.operators.ordering import global_index
 from corpusflow.plans.corpus import create_dataset_splits, make_training_batches
 from corpusflow.scratch import load_table, scratch_path
-from corpusflow.sources import readers, run_catalog, writers
+from corpusflow.sources import readers, run_catalog, tokenizer_files, writers
 from corpusflow.streaming import runs as stream_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,6 +189,13 @@ def tokenizer_corpus(spark, sf):
     return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "text")
 
 
+@query
+def tokenizer_tables_round_trip(spark, sf):
+    path = scratch_path(spark, "tokenizer")
+    tokenizer_files.save_tokenizer_tables(spark, small_tokenizer(spark, sf), path)
+    return vocabulary.merges_table(spark, tokenizer_files.load_tokenizer_tables(spark, path))
+
+
 @query
 def run_catalog_round_trip(spark, sf):
     path = scratch_path(spark, "catalog")
@@ -734,6 +741,16 @@ def example_audit(spark, sf):
     return examples.example_audit(_masked(spark, sf), MAX_LENGTH)
 
 
+@query
+def custom_collation(spark, sf):
+    """Batches with the caller's own columns."""
+    own = {"attention_mask": attention_mask(F.col("input_ids")), "first_label": F.element_at("labels", 1)}
+    batches = make_training_batches(
+        documents(spark, sf), DOC, bpe.Tokenizer.base(), LENGTH, BATCH, LENGTH, training=False, collate=own
+    )
+    return batches.select("window_start", text_of("attention_mask").alias("attention_mask"), "first_label")
+
+
 @query
 def alignment_check(spark, sf):
     return examples.alignment_check(windows.sliding_windows(byte_stream(spark, sf), LENGTH, LENGTH))
