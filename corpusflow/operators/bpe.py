@@ -320,22 +320,21 @@ def _guide(words: DataFrame, n: int) -> _Symbols:
 
     Both are found by a filter on each row, and both are bounded by `2 * n`.
     """
-    base = np.array(base_ids())
     total = words.count()
     share = min(n / max(total, 1), 1.0)
     least = words.agg(F.percentile_approx("cnt", 1.0 - share)).first()[0] if share < 1.0 else 0
-    top = words.filter(F.col("cnt") > least).limit(2 * n).collect() if total else []
-    chosen = [(r["word"], float(r["cnt"])) for r in top]
+    top = words.filter(F.col("cnt") > least).limit(2 * n).toArrow()
+    parts = [(top, 1.0)]
     rest = total - len(top)
     if rest > 0:
         buckets = 1 << 30
         drawn = F.pmod(F.xxhash64("word"), F.lit(buckets)) < int(buckets * min(n / rest, 1.0))
-        sample = words.filter((F.col("cnt") <= least) & drawn).limit(2 * n).collect()
-        chosen += [(r["word"], r["cnt"] * rest / len(sample)) for r in sample]
-    spelled = [word.encode() for word, _ in chosen]
-    offsets = np.cumsum([0, *map(len, spelled)])
-    values = base[np.frombuffer(b"".join(spelled), np.uint8)]
-    return _Symbols(values, offsets, np.array([count for _, count in chosen], float))
+        sample = words.filter((F.col("cnt") <= least) & drawn).limit(2 * n).toArrow()
+        parts.append((sample, rest / max(len(sample), 1)))
+    spelled = [word.encode() for part, _ in parts for word in part.column("word").to_pylist()]
+    counts = np.concatenate([part.column("cnt").to_numpy() * weight for part, weight in parts])
+    values = np.array(base_ids())[np.frombuffer(b"".join(spelled), np.uint8)]
+    return _Symbols(values, np.cumsum([0, *map(len, spelled)]), counts)
 
 
 def _plan(tokenizer: Tokenizer, exact: dict[Pair, int], guide: _Symbols, vocab_size: int, min_frequency: int,
