@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusflow.operators import runs
 
@@ -76,7 +75,7 @@ def test_early_stopping(spark, patience, min_delta):
         assert (summary[run]["stopped"], summary[run]["stop_step"]) == (bool(stops), stops[0] if stops else None)
 
 
-def test_reference_case_stops_at_the_third_loss(spark):
+def test_two_losses_without_improvement_stop(spark):
     table = spark.createDataFrame([(1, i, v) for i, v in enumerate([2.5, 2.52, 2.55])], "run int, step bigint, loss double")
     stops = runs.early_stopping(table, "run", ["step"], "loss", 2, 0.01).orderBy("step").collect()
     assert [r["early_stop"] for r in stops] == [False, False, True]
