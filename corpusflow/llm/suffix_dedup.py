@@ -17,7 +17,7 @@ share one suffix, and there is one for about REACH / 2 bytes.
 2. Blocks by the whole group: from its first place to the end of its last string. A
    block with two members is repeated at every place.
 3. Only where a block of step 1 has members that step 2 leaves single, each place is
-   a block of its own, by its whole string.
+   a block of its own, by its whole string; members that agree in step 2 are read once.
 
 The removed bytes of a text are the union of the repeated strings. Hashes have 64
 bits. Everything is counted by hash, with partial sums, so a passage that a third of
@@ -126,11 +126,13 @@ def _strings(length: int):
             sizes = high - low + 1
             ends = np.cumsum(sizes)
             places = np.repeat(low - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+            members = np.repeat(runs.field(2).to_numpy(), sizes)
             owner = np.repeat(owner, sizes)
             start = begin[owner] + places
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(owner)), pa.array(places.astype(np.int32)), pa.array(raw.hash(start, start + length).view(np.int64))],
-                names=["key", "low", "string"])
+                [batch.column("key").take(pa.array(owner)), pa.array(places.astype(np.int32)), pa.array(members),
+                 pa.array(raw.hash(start, start + length).view(np.int64))],
+                names=["key", "low", "n", "string"])
 
     return run
 
@@ -177,21 +179,23 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM, reach:
     groups = long.mapInArrow(_groups(sizes), "key bigint, low int, high int, core bigint, whole bigint")
     shared = materialize(groups.join(cores, "core", "left_semi"), "groups")
 
-    wholes = shared.groupBy("core", "whole").agg(F.count("*").alias("n"))
-    status = materialize(wholes.groupBy("core").agg(F.bool_or(F.col("n") == 1).alias("open")).filter("open").select("core"), "open")
+    # One member stands for all groups that agree as a whole.
+    one = F.min(F.struct("key", "low", "high")).alias("one")
+    wholes = materialize(shared.groupBy("core", "whole").agg(F.count("*").alias("n"), one), "wholes")
     repeated = wholes.filter("n > 1").select("core", "whole")
     known = shared.join(repeated, ["core", "whole"], "left_semi").select("key", "low", (F.col("high") + length).alias("end"))
-    places = shared.join(status, "core", "left_semi").groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("open"))
+    open_ = wholes.groupBy("core").agg(F.bool_or(F.col("n") == 1).alias("open"), F.sum("n").alias("n")).filter("open AND n > 1").select("core")
+    asked = wholes.join(open_, "core", "left_semi").select("one.*", F.least("n", F.lit(2)).cast("int").alias("n"))
+    places = asked.groupBy("key").agg(F.collect_set(F.struct("low", "high", "n")).alias("open"))
 
     touched = shared.select("key").distinct()
-    small = materialize(long.join(touched, "key", "left_semi"), "texts")
-    strings = materialize(small.join(places, "key").mapInArrow(_strings(length), "key bigint, low int, string bigint"), "strings")
-    twice = strings.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
-    single = strings.join(twice, "string", "left_semi").select("key", "low", (F.col("low") + length).alias("end"))
+    small = materialize(long.join(touched, "key", "left_semi").dropDuplicates(["key"]), "texts")
+    strings = materialize(small.join(places, "key").mapInArrow(_strings(length), "key bigint, low int, n int, string bigint"), "strings")
+    twice = strings.groupBy("string").agg(F.sum("n").alias("n")).filter("n > 1").select("string")
+    single = strings.filter("n = 1").join(twice, "string", "left_semi").select("key", "low", (F.col("low") + length).alias("end"))
 
     spans = known.unionByName(single).groupBy("key").agg(F.collect_set(F.struct("low", "end")).alias("spans"))
-    once = small.groupBy("key").agg(F.first("text").alias("text"))
-    found = materialize(once.join(spans, "key").mapInArrow(_cut, f"key bigint, runs {RUNS}, kept_sha256 string"), "runs")
+    found = materialize(small.join(spans, "key").mapInArrow(_cut, f"key bigint, runs {RUNS}, kept_sha256 string"), "runs")
     plain = rows.select(key, "key", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2(F.encode("text", "UTF-8"), 256).alias("_all"))
     return plain.join(found, "key", "left").select(
         key, "n_bytes", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"), F.coalesce("kept_sha256", "_all").alias("kept_sha256"))
