@@ -2,7 +2,8 @@
 
 Texts are tokenized in Arrow batches: no token of the tokenizer reaches over a blank,
 so a text is the sequence of its blank-separated chunks, and a worker segments each
-chunk once and remembers a bounded number of them.
+chunk once and remembers a bounded number of them; a chunk of a word and marks is the
+word and the marks, since the tokenizer's patterns part them.
 
 Pieces are packed per partition by best-fit decreasing. Dual feasible functions give
 a lower bound for the number of sequences of any packing of the partition; where the
@@ -15,8 +16,10 @@ is left, which only holds the sequences that were never filled.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,6 +43,23 @@ Batches = Iterator[pa.RecordBatch]
 _encoders: dict[str, "_Encoder"] = {}
 
 
+class _Chunks(dict):
+    """Numbers of chunks; an unknown one gets the next number and waits in `new`."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
+# Letters below this are letters for the tokenizer's patterns and for Python alike, and join with no punctuation.
+_WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?()]*)")
+_PLAIN = re.compile("[a-z]+")
+
+
 class _Encoder:
     """Ids of blank-separated chunks; equal to encoding the whole text."""
 
@@ -48,47 +68,62 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.numbers = _Chunks()
+        self.parts: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 20, np.uint32)
-        self.bounds = np.zeros(CHUNKS + 1, np.int64)
+        self.bounds = np.zeros(1 << 16, np.int64)
 
-    def encode(self, text: str) -> np.ndarray:
-        chunks = text.encode().split()
-        new = list({c for c in chunks if c not in self.place})
-        if len(self.place) + len(new) > CHUNKS:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; the memory is that of the texts and of CHUNKS chunks."""
+        split = [t.encode().split() for t in texts]
+        if len(self.numbers) > CHUNKS:
             self.clear()
-            new = list(set(chunks))
-        if len(new) > CHUNKS:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        place = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+            self.numbers.new.clear()
         starts = self.bounds[place]
-        sizes = self.bounds[place + 1] - starts
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
+        lengths = self.bounds[place + 1] - starts
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        flat = self.flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])]
+        return np.split(flat, ends[np.cumsum(sizes)][:-1]) if len(split) else []
 
     def _learn(self, chunks: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+        """A chunk of letters and marks is the word, lower-cased, and then the marks; others are encoded as they are."""
+        cut: list[tuple[str, str]] = []
+        for chunk in chunks:
+            found = _WORD_AND_MARKS.fullmatch(text := chunk.decode())
+            word, marks = found.groups() if found else (text, "")
+            cut.append((word.lower() if found and word.isascii() else word, marks))
+        new = list({p for parts in cut for p in parts if p and p not in self.parts})
+        self.parts[""] = []
+        # Small ASCII letters pass the normalizer and the word split unchanged, so the model alone gives their ids.
+        plain = [p for p in new if _PLAIN.fullmatch(p)]
+        self.parts.update((p, [t.id for t in self.model.tokenize(p)]) for p in plain)
+        others = [p for p in new if p not in self.parts]
+        self.parts.update(zip(others, (e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False))))
+        found = [self.parts[word] + self.parts[marks] for word, marks in cut]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        first = len(self.place)
+        first = len(self.numbers) - len(chunks)
         at = self.bounds[first]
         ends = at + np.cumsum(sizes)
         while ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-        self.flat[at : ends[-1]] = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        while len(self.numbers) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros(len(self.bounds), np.int64)])
+        self.flat[at : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         self.bounds[first + 1 : first + 1 + len(found)] = ends
-        self.place.update(zip(chunks, range(first, first + len(found))))
 
 
-def tokenize(text: str, path: str) -> np.ndarray:
+def tokenize(texts: list[str], path: str) -> list[np.ndarray]:
     if path not in _encoders:
         _encoders[path] = _Encoder(path)
-    return _encoders[path].encode(text)
+    return _encoders[path].encode(texts)
 
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -98,8 +133,9 @@ def _cut(path: str, capacity: int, id_type: pa.DataType):
     def run(batches: Batches) -> Batches:
         for batch in slices(batches):
             rows = []
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(tokenize(text or "", path), np.uint32(END_ID)).astype("<u4")
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for key, ids in zip(batch.column("doc_id").to_pylist(), tokenize(texts, path)):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     rows.append((key, number, start, len(part), zlib.crc32(part.tobytes())))
