@@ -7,10 +7,10 @@ word and the marks, since the tokenizer's patterns part them.
 
 Pieces are packed per partition by best-fit decreasing. Dual feasible functions give
 a lower bound for the number of sequences of any packing of the partition; where the
-packing meets it, it is certified and stays. Partitions with a gap keep their full
-sequences and give up the pieces of the others, which meet in fewer, newly dealt
-partitions and are packed again, until everything is certified or one partition
-is left, which only holds the sequences that were never filled.
+packing meets it, it is certified and stays, but for its emptiest sequence. Partitions
+with a gap give up their emptiest sequences, more of them the larger the gap. What is
+given up meets in fewer, newly dealt partitions and is packed again, until one
+partition holds the rest.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ CAPACITY = 4096
 END_ID = 1
 ITEMS = 50_000  # pieces for which a partition is planned
 ROUNDS = 4
+GIVEN = 8  # sequences given up for each one above the bound
 CHUNKS = 1_000_000  # chunks a worker remembers
 
 Batches = Iterator[pa.RecordBatch]
@@ -224,11 +225,11 @@ def _pack(capacity: int, last: bool, names: list[str]):
         sequence, offset = best_fit_decreasing(lengths, capacity)
         count = int(sequence.max()) + 1
         filled = np.bincount(sequence, lengths, count).astype(np.int64)
-        # A full sequence is never worth reopening; the bound is taken over what is left.
-        if last or count == lower_bound(lengths, capacity) and (filled < capacity).sum() <= 1 and filled.min() == capacity:
-            stays = np.ones(count, bool)
-        else:
-            stays = filled == capacity
+        stays = np.ones(count, bool)
+        if not last:
+            gap = count - lower_bound(lengths, capacity)
+            emptiest = np.argsort(filled, kind="stable")[: 1 + GIVEN * gap]
+            stays[emptiest[filled[emptiest] < capacity]] = False
         # The least row of a sequence names it: unique over all partitions and rounds.
         name = np.full(count, np.iinfo(np.int64).max)
         np.minimum.at(name, sequence, rows["_row"].to_numpy(np.int64))
