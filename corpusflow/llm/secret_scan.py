@@ -30,7 +30,7 @@ HEX = r"[0-9a-f]{24,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
 
-SMOOTHING = 1.0
+SMOOTHING = 20.0  # transitions for which the frequencies of single characters count
 LEAST_RATIO = 12.0  # nats over a whole candidate
 LEAST_MEAN = 0.5  # nats for each transition
 
@@ -67,16 +67,21 @@ def transition_ratios(candidates: DataFrame) -> list[float]:
         F.sequence(F.lit(1), F.length("found") - 1), lambda i: F.substring("found", i, F.lit(2)))).alias("pair"))
     counted = pairs.groupBy("secret", "pair").count().collect()  # twice the square of the alphabet at most
     size = len(ALPHABET)
-    seen = {True: [[SMOOTHING] * size for _ in range(size)], False: [[SMOOTHING] * size for _ in range(size)]}
     place = {c: i for i, c in enumerate(ALPHABET)}
+    seen = {label: [[0.0] * size for _ in range(size)] for label in (True, False)}
     for row in counted:
         a, b = row["pair"]
         seen[row["secret"]][place[a]][place[b]] += row["count"]
-    ratios = []
-    for a in range(size):
-        random_, ordinary = sum(seen[True][a]), sum(seen[False][a])
-        ratios += [math.log(seen[True][a][b] / random_) - math.log(seen[False][a][b] / ordinary) for b in range(size)]
-    return ratios
+    chance = {label: _chances(counts) for label, counts in seen.items()}
+    return [math.log(chance[True][a][b] / chance[False][a][b]) for a in range(size) for b in range(size)]
+
+
+def _chances(counts: list[list[float]]) -> list[list[float]]:
+    """P(next | character), drawn towards how frequent the next character is at all, and this towards uniform."""
+    size = len(counts)
+    total = sum(map(sum, counts))
+    alone = [(sum(row[b] for row in counts) + 0.5) / (total + 0.5 * size) for b in range(size)]
+    return [[(row[b] + SMOOTHING * alone[b]) / (sum(row) + SMOOTHING) for b in range(size)] for row in counts]
 
 
 def log_ratio(run: Column, ratios: list[float]) -> Column:

@@ -62,9 +62,11 @@ def test_secrets(spark):
 def test_the_markov_models_find_random_strings_without_a_pattern(spark):
     rng = random.Random(1)
     draw = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
-    texts = [f"the token={draw(32)} was here and the internationalization_of_things is plain" for _ in range(60)]
+    words = ["Request", "Handler", "factory", "version", "Index", "table", "HTTP", "max", "SIZE", "count", "V2", "utf8", "of", "the", "JSON", "path"]
+    name = lambda: "_".join(rng.choice(words) + rng.choice(words) for _ in range(3)) + rng.choice(["", "1", "42", "2024"])
+    texts = [f"the token={draw(32)} was here and " + " ".join(name() for _ in range(30)) for _ in range(60)]
     hidden = draw(40)
-    df, _ = documents(spark, [*texts, f"see {hidden} or straightforward_identifiers_of_the_internal_interfaces", None])
+    df, _ = documents(spark, [*texts, f"see {hidden} or HandlerFactory_versionIndex_HTTPpath42", None])
     found = {r.doc_id: r.s for r in secret_scan.scan_secrets(df).select("doc_id", as_text(F.col("all")).alias("s")).collect()}
     assert found[60] == "random:4:44" and found[61] == ""
     assert all(s.count("random") == 0 for i, s in found.items() if i < 60)
