@@ -10,12 +10,13 @@ m log m / n rounds (Ertl, 2017).
 1. A document becomes the digest of its set and `bands` hashes of `rows`
    signature places. Documents with equal sets are one class from then on, so copies
    are never paired.
-2. Classes that share a band hash form a bucket. Pairs are not enumerated: in each
-   round every bucket compares its members with a few leaders, links them where the
-   full sets agree, and keeps only members that can still have an unknown link. For a
-   leader L, a member x linked to it and a member y that isn't, the distances
-   d(x,y) >= d(y,L) - d(x,L) tell when x and y cannot be linked (Jaccard distance is a
-   metric). Rounds go on until nothing is left, so no link in a bucket is lost.
+2. Classes that share a band hash form a bucket. Pairs are not enumerated: a bucket
+   first compares its members with its middle, the one that meets most others, and
+   links them where the full sets agree. In further rounds members outside the middle's
+   component are compared with the others, except with those they are joined to and
+   those that cannot be near: Jaccard distance is a metric, so two members whose
+   distances to the middle differ by more than 0.2 are no link. Rounds go on until
+   every bucket is one component or has no pair left, so no connection is lost.
 3. Links are reduced by union-find inside partitions and then joined across them.
 
 With 40 bands of 5 rows a pair of similarity 0.8 shares no bucket with probability
@@ -40,7 +41,8 @@ from corpusflow.llm.words import mix, shingles, slices, word_hashes
 from corpusflow.scratch import materialize
 
 BANDS, ROWS = 40, 5
-LEADERS = 16  # leaders of a bucket in later rounds
+LEADERS = 64  # leaders of a bucket in later rounds
+BROADCAST_ELEMENTS = 2_000_000  # elements of all leaders' sets, 8 bytes each, that go to every task
 PIECE = 1000  # pairs of one leader that are compared together
 ELEMENTS = 60_000  # elements whose permutations are held at a time
 
@@ -176,41 +178,58 @@ def components(links: DataFrame) -> DataFrame:
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """`pairs(leader, id)` with their similarity on full sets; the pairs of a frequent leader are cut into pieces."""
+    ahead = sets.join(pairs.select(F.col("leader").alias("id")).distinct(), "id").select(
+        F.col("id").alias("leader"), F.col("elements").alias("theirs"))
+    if (ahead.agg(F.sum(F.size("theirs")).alias("n")).first()["n"] or 0) <= BROADCAST_ELEMENTS:
+        return _counted(pairs.join(sets, "id").join(F.broadcast(ahead), "leader"))
     sized = pairs.join(pairs.groupBy("leader").agg(F.ceil(F.count("*") / PIECE).alias("pieces")), "leader")
     sized = sized.withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
     leaders = sized.groupBy("leader").agg(F.max("pieces").alias("pieces"))
     copies = leaders.join(sets.select(F.col("id").alias("leader"), F.col("elements").alias("theirs")), "leader").select(
         "leader", "theirs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("piece"))
     members = sized.join(sets, "id")
-    both = members.join(copies, ["leader", "piece"])
+    return _counted(members.join(copies, ["leader", "piece"]))
+
+
+def _counted(both: DataFrame) -> DataFrame:
     shared = F.size(F.array_intersect("elements", "theirs"))
     counted = both.select("leader", "id", shared.alias("shared"), (F.size("elements") + F.size("theirs")).alias("both"))
     return counted.select("leader", "id", "shared", (F.col("both") - F.col("shared")).alias("joint"))
 
 
 def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All links `(a, b)` between members of the same bucket `(bucket, id)`."""
-    found = []
-    number = 1
+    """Links `(a, b)` between members of the same bucket `(bucket, id)`, enough to join all that are connected."""
+    found: list[DataFrame] = []
     slack = 1 - percent / 100
+    # Who shares buckets with most others is nearest to the middle of a group, and the same in all its buckets.
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"))
+    rank = buckets.join(sizes, "bucket").groupBy("id").agg(F.sum("size").alias("met"))
+    members = materialize(buckets.join(rank, "id").withColumns({"label": F.col("id"), "near": F.lit(None).cast("double")}), "members")
+    number = 1
     while True:
-        ranked = buckets.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("id")))
-        leaders = ranked.filter(F.col("_r") <= number).select("bucket", F.col("id").alias("leader"))
-        meets = buckets.join(leaders, "bucket").filter("id != leader")
-        pairs = meets.select("leader", "id").distinct()
-        done = materialize(_compared(pairs, sets), "compared")
-        linked = F.col("shared") * 100 >= F.col("joint") * percent
-        found.append(done.filter(linked).select(F.col("leader").alias("a"), F.col("id").alias("b")))
-        judged = meets.join(done.select("leader", "id", linked.alias("linked"), (F.col("shared") / F.col("joint")).alias("near")), ["leader", "id"])
-        # Per leader of a bucket: how near the nearest member is that isn't linked to it. Without one, nothing is open.
-        nearest = judged.groupBy("bucket", "leader").agg(F.max(F.when(~F.col("linked"), F.col("near"))).alias("nearest"))
-        judged = judged.join(nearest, ["bucket", "leader"])
-        settled = F.col("linked") & (F.col("nearest").isNull() | (F.col("near") > F.col("nearest") + slack + 1e-9))
-        open_ = judged.groupBy("bucket", "id").agg(F.bool_or(settled).alias("settled")).filter(~F.col("settled"))
-        rest = open_.select("bucket", "id").join(leaders, (open_["bucket"] == leaders["bucket"]) & (open_["id"] == leaders["leader"]), "left_anti")
-        sizes = rest.groupBy("bucket").agg(F.count("*").alias("_n")).filter("_n > 1")
-        buckets = materialize(rest.join(sizes, "bucket").select("bucket", "id"), "buckets")
-        if buckets.isEmpty():
+        # Later leaders come from outside the component of the bucket's middle.
+        first = members.groupBy("bucket").agg(F.max(F.struct("met", "label")).alias("middle"))
+        ranked = members.join(first, "bucket").withColumn("_r", F.row_number().over(
+            Window.partitionBy("bucket").orderBy(F.col("label") == F.col("middle.label") if found else F.lit(0), F.desc("met"), "id")))
+        leaders = ranked.filter(F.col("_r") <= number).select(
+            "bucket", F.col("id").alias("leader"), F.col("label").alias("theirs"), F.col("near").alias("leader_near"))
+        # Two members whose distances to the bucket's middle differ by more than the limit are farther apart than it.
+        apart = F.coalesce(F.abs(F.col("near") - F.col("leader_near")) > slack + 1e-9, F.lit(False))
+        meets = members.join(leaders, "bucket").filter((F.col("id") != F.col("leader")) & (F.col("label") != F.col("theirs")) & ~apart)
+        meets = materialize(meets.select("bucket", "id", "leader"), "meets")
+        done = materialize(_compared(meets.select("leader", "id").distinct(), sets), "compared")
+        found.append(done.filter(F.col("shared") * 100 >= F.col("joint") * percent).select(F.col("leader").alias("a"), F.col("id").alias("b")))
+        if number == 1:
+            gauge = meets.join(done.select("leader", "id", (F.col("shared") / F.col("joint")).alias("near")), ["leader", "id"]).select("bucket", "id", "near")
+            members = members.drop("near").join(gauge, ["bucket", "id"], "left")
+        gone = leaders.select("bucket", F.col("leader").alias("id"))
+        label = components(reduce(DataFrame.unionByName, found))
+        rest = members.select("bucket", "id", "met", "near").join(gone, ["bucket", "id"], "left_anti").join(label, F.col("id") == F.col("node"), "left")
+        rest = rest.select("bucket", "id", "met", "near", F.coalesce("component", "id").alias("label"))
+        # Members that are joined already need no comparison, and a bucket of such members is done.
+        mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+        members = materialize(rest.join(mixed, "bucket"), "buckets")
+        if members.isEmpty():
             return reduce(DataFrame.unionByName, found)
         number = LEADERS
 
