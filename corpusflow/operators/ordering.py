@@ -103,13 +103,17 @@ def global_index(df: DataFrame, keys: Sequence[str], name: str = "idx") -> DataF
 
 
 def not_after(keys: Sequence[str], values: Sequence[object]) -> Column:
-    """`keys <= values` in tuple order, written so that it reaches the scan as a filter."""
-    condition = F.col(keys[-1]) <= F.lit(values[-1])
+    """`keys <= values` in tuple order, NULL first as Spark sorts it, written so that it reaches the scan as a filter."""
+    condition = _before(keys[-1], values[-1]) | F.col(keys[-1]).eqNullSafe(F.lit(values[-1]))
     for key, value in reversed(list(zip(keys[:-1], values[:-1]))):
-        condition = (F.col(key) < F.lit(value)) | ((F.col(key) == F.lit(value)) & condition)
+        condition = _before(key, value) | (F.col(key).eqNullSafe(F.lit(value)) & condition)
     return condition
 
 
+def _before(key: str, value: object) -> Column:
+    return F.lit(False) if value is None else F.col(key).isNull() | (F.col(key) < F.lit(value))
+
+
 def head_rows(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
     """The first `n` rows in key order; `None` keeps all.
 
@@ -177,7 +181,11 @@ def scan(
         else:
             value = (F.least if kind == "min" else F.greatest)(here, there)  # both skip NULL
         result.append(value.alias(name))
-    return scanned.join(carried, segment).select(*layout.columns, *result)
+    carried = carried.withColumnsRenamed({k: f"_k_{k}" for k in segment})
+    same = F.lit(True)
+    for key in segment:
+        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+    return scanned.join(carried, same).select(*layout.columns, *result)
 
 
 def newest_per_group(df: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:
@@ -192,8 +200,9 @@ def newest_per_group(df: DataFrame, group: str, order: Sequence[str], n: int) ->
         ranked = df.withColumn("_rank", F.row_number().over(newest))
         return ranked.filter(F.col("_rank") <= n).drop("_rank")
     rows = ordered_layout(df, [group, *order], position="_position")
-    ends = rows.groupBy(group).agg(F.max("_position").alias("_last"))
-    return rows.join(ends, group).filter(F.col("_position") > F.col("_last") - n).select(*df.columns)
+    ends = rows.groupBy(F.col(group).alias("_group")).agg(F.max("_position").alias("_last"))
+    joined = rows.join(ends, F.col(group).eqNullSafe(F.col("_group")))
+    return joined.filter(F.col("_position") > F.col("_last") - n).select(*df.columns)
 
 
 def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "row") -> DataFrame:

@@ -56,7 +56,7 @@ def extract_samples(
 
 
 def validation_cap(max_samples: int | None) -> int | None:
-    return int(max_samples * 0.1) if max_samples else None
+    return None if max_samples is None else int(max_samples * 0.1)
 
 
 def retention(df: DataFrame, shortest: int = MIN_LENGTH, longest: int = MAX_LENGTH) -> DataFrame:

@@ -111,11 +111,11 @@ def _split(documents: str, validation: str | None) -> str:
 
 KEPT = (
     f"{CLEANED}, kept AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS sample_no, text FROM "
-    "(SELECT * FROM cleaned ORDER BY doc_id LIMIT 50000) WHERE length(text) BETWEEN 150 AND 500)"
+    "cleaned WHERE length(text) BETWEEN 150 AND 500)"
 )
 KEPT_VALIDATION = (
     f"{CLEANED_CONVERSATIONS}, held AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS sample_no, text FROM "
-    "(SELECT * FROM conv ORDER BY conv_id, turn LIMIT 5000) WHERE length(text) BETWEEN 150 AND 500)"
+    "conv WHERE length(text) BETWEEN 150 AND 500)"
 )
 WITH_VALIDATION = f"{KEPT}, {KEPT_VALIDATION}, {_split('kept', 'held')}"
 ALL_SAMPLES = (
@@ -192,7 +192,7 @@ ORACLE: dict[str, str] = {
     "paragraph_text_round_trip": f"WITH {CLEANED} SELECT text FROM cleaned WHERE text <> ''",
     "read_prompts": f"WITH {CLEANED_CONVERSATIONS} SELECT text AS prompt FROM conv WHERE text <> ''",
     "small_bundle": f"WITH {ALL_SAMPLES} SELECT split, text FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY sample_no) AS n FROM splits) WHERE n <= CASE split WHEN 'train' THEN 1000 ELSE 100 END",
-    "tokenizer_corpus": f"WITH {CLEANED}, {CLEANED_CONVERSATIONS} SELECT text FROM (SELECT 0 AS f, doc_id AS a, 0 AS b, text FROM cleaned UNION ALL SELECT 1, conv_id, turn, text FROM conv) WHERE text <> '' ORDER BY f, a, b LIMIT 1200",
+    "tokenizer_corpus": f"WITH {CLEANED}, {CLEANED_CONVERSATIONS} SELECT text FROM (SELECT 0 AS f, doc_id AS a, 0 AS b, text FROM cleaned UNION ALL SELECT 1, conv_id, turn, text FROM conv) WHERE text <> ''",
     "run_catalog_round_trip": f"WITH {CATALOG}, kept AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS n FROM catalog), lists AS (SELECT run_id, string_agg(path, ' ' ORDER BY step) AS checkpoints FROM kept WHERE n <= 5 GROUP BY run_id) SELECT run_id, checkpoints, best_checkpoint, best_metric, last_checkpoint FROM lists JOIN (SELECT run_id, arg_min(path, (val_loss, step)) AS best_checkpoint, min(val_loss) AS best_metric, arg_max(path, step) AS last_checkpoint FROM catalog GROUP BY run_id) USING (run_id)",
     "eval_results_round_trip": f"WITH {SCORED} SELECT prompt_id, round(exp(avg(nll)), 4) AS perplexity FROM losses GROUP BY prompt_id",
     # projections and filters

@@ -185,7 +185,7 @@ def small_bundle(spark, sf):
 def tokenizer_corpus(spark, sf):
     parts = [(cleaned(spark, sf), DOC), (samples.clean(conversations(spark, sf)), CONV)]
     path = scratch_path(spark, "tokenizer-corpus")
-    writers.write_tokenizer_corpus(samples.tokenizer_corpus(parts, 1200), path)
+    writers.write_tokenizer_corpus(samples.tokenizer_corpus(parts), path)
     return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "text")
 
 
