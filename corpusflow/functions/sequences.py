@@ -13,8 +13,8 @@ SPECIAL_TOKENS = ("[CLS]", "[SEP]", "[MASK]", "[PAD]")
 CLS, SEP, MASK, PAD = 0, 1, 2, 3
 
 
-def add_special_tokens(ids: Column) -> Column:
-    return F.concat(F.array(F.lit(CLS)), ids, F.array(F.lit(SEP)))
+def add_special_tokens(ids: Column, first: int = CLS, last: int = SEP) -> Column:
+    return F.concat(F.array(F.lit(first)), ids, F.array(F.lit(last)))
 
 
 def truncate_ids(ids: Column, max_length: Column | int | None) -> Column:

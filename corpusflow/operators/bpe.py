@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.bytelevel import alphabet, base_ids, byte_ids, words_by_line, words_of
+from corpusflow.functions.bytelevel import alphabet, base_ids, byte_characters, byte_ids, words_by_line, words_of
 from corpusflow.functions.sequences import SPECIAL_TOKENS
 from corpusflow.scratch import materialize
 
@@ -33,6 +33,18 @@ class Tokenizer:
     def vocab_size(self) -> int:
         return len(self.tokens)
 
+    def ids_of_bytes(self) -> list[int]:
+        """Token id of each byte, wherever the vocabulary has its letter."""
+        ids = {t: i for i, t in enumerate(self.tokens)}
+        missing = [c for c in byte_characters() if c not in ids]
+        if missing:
+            raise ValueError(f"the vocabulary lacks {len(missing)} byte letters, such as {missing[0]!r}")
+        return [ids[c] for c in byte_characters()]
+
+    def special_ids(self) -> dict[str, int]:
+        """Ids of the special tokens that the vocabulary has."""
+        return {t: i for i, t in enumerate(self.tokens) if t in SPECIAL_TOKENS}
+
     @staticmethod
     def base() -> "Tokenizer":
         return Tokenizer((*SPECIAL_TOKENS, *alphabet()), ())
@@ -89,34 +101,41 @@ def most_frequent_pairs(pairs: DataFrame, n: int = 1) -> DataFrame:
     return pairs.orderBy(F.desc("cnt"), "left", "right").limit(n)
 
 
+_GONE = -1  # stands where a symbol was merged into the one before it
+
+
 def segment(word: str, base: list[int], ranks: dict[Pair, tuple[int, int]]) -> list[int]:
-    """Token ids of one word: merge the pair of lowest rank, left to right, until none is left."""
+    """Token ids of one word: merge the pair of lowest rank, the leftmost first, until none is left.
+
+    Pairs wait in a heap and places know their neighbours, so n bytes take n log n steps.
+    """
     ids = [base[b] for b in word.encode()]
-    while len(ids) > 1:
-        ranked = [(ranks[p], p) for p in zip(ids, ids[1:]) if p in ranks]
-        if not ranked:
-            break
-        (_, merged), pair = min(ranked)
-        ids = _joined(ids, pair, merged)
-    return ids
+    n = len(ids)
+    waiting = [(ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+    if not waiting:
+        return ids
+    heapq.heapify(waiting)
+    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+    while waiting:
+        rank, i = heapq.heappop(waiting)
+        j = right[i]
+        found = ranks.get((ids[i], ids[j])) if j < n else None
+        if found is None or found[0] != rank:
+            continue  # one of the two was merged meanwhile
+        ids[i], ids[j] = found[1], _GONE
+        right[i] = k = right[j]
+        if k < n:
+            left[k] = i
+        for a, b in ((left[i], i), (i, k)):
+            if a >= 0 and b < n and (ids[a], ids[b]) in ranks:
+                heapq.heappush(waiting, (ranks[ids[a], ids[b]][0], a))
+    return [x for x in ids if x != _GONE]
 
 
 def merge_ranks(tokenizer: Tokenizer) -> dict[Pair, tuple[int, int]]:
     return {(left, right): (rank, merged) for rank, (left, right, merged) in enumerate(tokenizer.merges)}
 
 
-def _joined(ids: list[int], pair: Pair, merged: int) -> list[int]:
-    out, i, last = [], 0, len(ids) - 1
-    while i <= last:
-        if i < last and ids[i] == pair[0] and ids[i + 1] == pair[1]:
-            out.append(merged)
-            i += 2
-        else:
-            out.append(ids[i])
-            i += 1
-    return out
-
-
 _END = -1  # closes every word in the flat form
 
 

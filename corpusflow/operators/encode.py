@@ -18,8 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.functions.bytelevel import base_ids, pieces_of, text_of
+from corpusflow.functions.bytelevel import pieces_of, text_of
 from corpusflow.functions.sequences import (
+    CLS,
+    PAD,
+    SEP,
     SPECIAL_TOKENS,
     add_special_tokens,
     attention_mask,
@@ -35,8 +38,8 @@ CACHED_WORDS = 200_000
 
 def _segmenter(tokenizer: Tokenizer) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Distinct words -> (length of each, all ids in a row), remembering a bounded number of words."""
-    base, ranks = base_ids(), merge_ranks(tokenizer)
-    special = {t: [i] for i, t in enumerate(SPECIAL_TOKENS)}
+    base, ranks = tokenizer.ids_of_bytes(), merge_ranks(tokenizer)
+    special = {t: [i] for t, i in tokenizer.special_ids().items()}
     cache: dict[str, list[int]] = dict(special)
 
     def ids_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +75,8 @@ def _encode_words(tokenizer: Tokenizer, name: str):
             bounds = lists.offsets.to_numpy()
             words = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
             ids, at = _gather(*ids_of(words.dictionary), words.indices.to_numpy(zero_copy_only=False))
+            if at[-1] > np.iinfo(np.int32).max:
+                raise OverflowError("a batch has more than 2**31 tokens: lower spark.sql.execution.arrow.maxRecordsPerBatch")
             encoded = pa.ListArray.from_arrays(pa.array(at[bounds - bounds[0]].astype(np.int32)), pa.array(ids))
             kept = [n for n in batch.schema.names if n != WORDS]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), encoded], names=[*kept, name])
@@ -100,14 +105,25 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     return lists.mapInArrow(_encode_words(tokenizer, "ids"), schema)
 
 
-def as_encoding(ids: Column, max_length: int | Column | None, padding: bool) -> list[Column]:
+def as_encoding(ids: Column, max_length: int | Column | None, padding: bool, pad: int = PAD) -> list[Column]:
     """Columns input_ids, token_type_ids and attention_mask, padded if wanted."""
-    columns = [(ids, "input_ids", None), (token_type_ids(ids), "token_type_ids", 0),
+    columns = [(ids, "input_ids", pad), (token_type_ids(ids), "token_type_ids", 0),
                (attention_mask(ids), "attention_mask", 0)]
     length = max_length if padding else None
-    return [
-        (pad_ids(c, length) if fill is None else pad_ids(c, length, fill)).alias(n) for c, n, fill in columns
-    ]
+    return [pad_ids(c, length, fill).alias(n) for c, n, fill in columns]
+
+
+def special_id(tokenizer: Tokenizer, which: int) -> int:
+    """Where the vocabulary has the special token CLS, SEP, MASK or PAD."""
+    name = SPECIAL_TOKENS[which]
+    found = tokenizer.special_ids()
+    if name not in found:
+        raise ValueError(f"the vocabulary has no {name}")
+    return found[name]
+
+
+def with_special(ids: Column, tokenizer: Tokenizer) -> Column:
+    return add_special_tokens(ids, special_id(tokenizer, CLS), special_id(tokenizer, SEP))
 
 
 def encode_corpus(
@@ -120,7 +136,8 @@ def encode_corpus(
 ) -> DataFrame:
     """Encode every row; `padding` needs a `max_length`, as there is no batch to measure."""
     encoded = _finished(df, tokenizer, special_tokens, max_length if truncation else None)
-    return encoded.select(*_others(df), *as_encoding(F.col("ids"), max_length, padding))
+    pad = special_id(tokenizer, PAD) if padding else PAD
+    return encoded.select(*_others(df), *as_encoding(F.col("ids"), max_length, padding, pad))
 
 
 def encode_batches(
@@ -138,7 +155,8 @@ def encode_batches(
     if padding and max_length is None:
         encoded = with_batch_length(encoded, batch)
         length = F.col("batch_length")
-    return encoded.select(*_others(df), *as_encoding(F.col("ids"), length, padding))
+    pad = special_id(tokenizer, PAD) if padding else PAD
+    return encoded.select(*_others(df), *as_encoding(F.col("ids"), length, padding, pad))
 
 
 def with_batch_length(encoded: DataFrame, batch: str = "batch_id", ids: str = "ids") -> DataFrame:
@@ -148,7 +166,7 @@ def with_batch_length(encoded: DataFrame, batch: str = "batch_id", ids: str = "i
 
 def _finished(df: DataFrame, tokenizer: Tokenizer, special_tokens: bool, cut: int | None) -> DataFrame:
     encoded = encode_ids(df, tokenizer)
-    ids = add_special_tokens(F.col("ids")) if special_tokens else F.col("ids")
+    ids = with_special(F.col("ids"), tokenizer) if special_tokens else F.col("ids")
     return encoded.withColumn("ids", truncate_ids(ids, cut))
 
 
@@ -158,7 +176,7 @@ def _others(df: DataFrame) -> list[str]:
 
 def decode_corpus(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", skip_special: bool = True) -> DataFrame:
     """Replace `ids` by `text`."""
-    skip = set(range(len(SPECIAL_TOKENS))) if skip_special else set()
+    skip = set(tokenizer.special_ids().values()) if skip_special else set()
     others = [c for c in df.columns if c != ids]
     return df.select(*others, text_of(F.col(ids), list(tokenizer.tokens), skip).alias("text"))
 

@@ -14,7 +14,7 @@ BROADCAST_ENTRIES = 1_000_000
 
 
 def vocab_table(spark: SparkSession, tokenizer: Tokenizer) -> DataFrame:
-    rows = [(t, i, i < len(SPECIAL_TOKENS)) for i, t in enumerate(tokenizer.tokens)]
+    rows = [(t, i, t in SPECIAL_TOKENS) for i, t in enumerate(tokenizer.tokens)]
     return spark.createDataFrame(rows, VOCAB_SCHEMA)
 
 

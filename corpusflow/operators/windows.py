@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import digest
-from corpusflow.functions.sequences import add_special_tokens
 from corpusflow.operators.bpe import Tokenizer
-from corpusflow.operators.encode import encode_ids
+from corpusflow.operators.encode import encode_ids, with_special
 from corpusflow.operators.ordering import PART, ordered_layout, shuffle_partitions
 
 BLOCK_TOKENS = 65_536
@@ -25,7 +24,7 @@ def encoded_stream(df: DataFrame, keys: Sequence[str], tokenizer: Tokenizer) ->
     """Documents with their ids, special tokens included, and their place in the stream."""
 
     def encode(rows: DataFrame) -> DataFrame:
-        return encode_ids(rows, tokenizer).withColumn("ids", add_special_tokens(F.col("ids")))
+        return encode_ids(rows, tokenizer).withColumn("ids", with_special(F.col("ids"), tokenizer))
 
     return _placed(df.select(*keys, "text"), keys, encode, "ids")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.sequences import CLS, MASK, PAD, SEP, SPECIAL_TOKENS
@@ -22,12 +22,22 @@ def save_tokenizer_tables(spark: SparkSession, tokenizer: Tokenizer, path: str)
     config.coalesce(1).write.mode("overwrite").json(f"{path}/config")
 
 
+def _by_id(vocab: list[Row]) -> tuple[str, ...]:
+    """Tokens ordered by id; ids that leave gaps or repeat, and tokens that repeat, raise."""
+    if [r["id"] for r in vocab] != list(range(len(vocab))):
+        raise ValueError("token ids must be 0, 1, 2, ... without gaps or repeats")
+    tokens = tuple(r["token"] for r in vocab)
+    if len(set(tokens)) < len(tokens):
+        raise ValueError("a token has several ids")
+    return tokens
+
+
 def load_tokenizer_tables(spark: SparkSession, path: str) -> Tokenizer:
     vocab = spark.read.parquet(f"{path}/vocab").orderBy("id").collect()
     merges = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
     ids = {r["token"]: r["id"] for r in vocab}
     return Tokenizer(
-        tuple(r["token"] for r in vocab),
+        _by_id(vocab),
         tuple((ids[r["left"]], ids[r["right"]], r["merged_id"]) for r in merges),
     )
 
@@ -43,6 +53,4 @@ def import_tokenizer_files(spark: SparkSession, folder: str) -> Tokenizer:
     lines = spark.read.text(f"{folder}/merges.txt", wholetext=True).first()["value"].split("\n")
     ids = {r["token"]: r["id"] for r in vocab}
     pairs = [line.split(" ") for line in lines if line and not line.startswith("#version")]
-    return Tokenizer(
-        tuple(r["token"] for r in vocab), tuple((ids[a], ids[b], ids[a + b]) for a, b in pairs)
-    )
+    return Tokenizer(_by_id(vocab), tuple((ids[a], ids[b], ids[a + b]) for a, b in pairs))

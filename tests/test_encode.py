@@ -1,3 +1,5 @@
+import time
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +46,15 @@ def test_ids_and_texts_match_the_package(spark, trained):
         assert decoded == [theirs.decode(i, skip_special_tokens=skip) for i in ids]
 
 
+def test_long_words_take_no_quadratic_time(trained):
+    _, ours, _ = trained
+    word = "theandsaid" * 30_000
+    started = time.monotonic()
+    ids = bpe.segment(word, ours.ids_of_bytes(), bpe.merge_ranks(ours))
+    assert time.monotonic() - started < 20
+    assert "".join(ours.tokens[i] for i in ids) == word
+
+
 def test_cut_characters_decode_like_the_package(spark, trained):
     theirs, ours, _ = trained
     base = bpe.base_ids()

@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from corpusflow.operators import bpe
+from corpusflow.functions import bytelevel
+from corpusflow.operators import bpe, encode
 from corpusflow.sources import readers, run_catalog, tokenizer_files, writers
 
 
@@ -81,6 +83,22 @@ def test_tokenizer_files(spark, tmp_path):
         tokenizer_files.load_tokenizer_tables(spark, str(tmp_path / "nowhere"))
 
 
+def test_a_vocabulary_in_another_layout_keeps_its_ids(spark, tmp_path):
+    tokens = [*bytelevel.alphabet(), "ab", "[CLS]", "[SEP]", "[MASK]", "[PAD]"]
+    (tmp_path / "vocab.json").write_text(json.dumps({t: i for i, t in enumerate(tokens)}))
+    (tmp_path / "merges.txt").write_text("#version: 0.2\na b\n")
+    tokenizer = tokenizer_files.import_tokenizer_files(spark, str(tmp_path))
+    df = spark.createDataFrame([(1, "ab c"), (2, "[MASK]"), (3, None)], "id int, text string")
+    encoded = encode.encode_corpus(df, tokenizer, padding=True, max_length=4)
+    ids = {r["id"]: r["input_ids"] for r in encoded.collect()}
+    assert ids == {1: [257, 256, 220, 66, 258], 2: [257, 259, 258, 260], 3: [257, 258, 260, 260]}
+    back = encode.decode_corpus(encoded.select("id", F.col("input_ids").alias("ids")), tokenizer)
+    assert {r["id"]: r["text"] for r in back.collect()} == {1: "ab c", 2: "", 3: ""}
+    (tmp_path / "vocab.json").write_text(json.dumps({t: 2 * i for i, t in enumerate(tokens)}))
+    with pytest.raises(ValueError, match="gaps"):
+        tokenizer_files.import_tokenizer_files(spark, str(tmp_path))
+
+
 def test_run_catalog(spark, tmp_path):
     path = tmp_path / "meta.json"
     path.write_text(json.dumps({"checkpoints": ["r/checkpoint-2.pt", "r/checkpoint-10.pt"], "best_checkpoint": None,
