@@ -15,8 +15,9 @@ m log m / n rounds (Ertl, 2017).
    links them where the full sets agree. In further rounds members outside the middle's
    component are compared with the others, except with those they are joined to and
    those that cannot be near: Jaccard distance is a metric, so two members whose
-   distances to the middle differ by more than 0.2 are no link. Rounds go on until
-   every bucket is one component or has no pair left, so no connection is lost.
+   distances to the middle differ by more than 0.2 are no link, nor are sets whose
+   elements are spread too differently over PARTS hash parts. Rounds go on until every
+   bucket is one component or has no pair left, so no connection is lost.
 3. Links are reduced by union-find inside partitions and then joined across them.
 
 With 40 bands of 5 rows a pair of similarity 0.8 shares no bucket with probability
@@ -34,15 +35,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm.words import mix, shingles, slices, word_hashes
 from corpusflow.scratch import materialize
 
 BANDS, ROWS = 40, 5
-LEADERS = 64  # leaders of a bucket in later rounds
+LEADERS = 64  # leaders of a bucket in the second round; twice as many in each later one, up to
+MOST_LEADERS = 1000  # what Spark selects per group before it shuffles
 BROADCAST_ELEMENTS = 2_000_000  # elements of all leaders' sets, 8 bytes each, that go to every task
+PARTS = 128  # hash parts whose sizes bound how far two sets differ
 PIECE = 1000  # pairs of one leader that are compared together
 ELEMENTS = 60_000  # elements whose permutations are held at a time
 
@@ -128,7 +131,9 @@ def _full_sets(size: int):
             at = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32))
             flat = np.concatenate(sets).view(np.int64)
             digests = pa.array([_digest(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(at, pa.array(flat))], names=["id", "elements"])
+            parts = [np.bincount((s >> _U(32)).astype(np.int64) % PARTS, minlength=PARTS) for s in sets]
+            spread = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * PARTS, pa.array(np.concatenate(parts), pa.int32()))
+            yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(at, pa.array(flat)), spread], names=["id", "elements", "spread"])
 
     return run
 
@@ -176,8 +181,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _may_link(one: Column, two: Column, percent: int) -> Column:
+    """Whether sets with these sizes of hash parts can be as similar as that.
+
+    Elements of only one set are at least as many as the differences of the sizes, and
+    sets that are linked have at most (100 - percent) / (100 + percent) of all elements of both so.
+    """
+    total = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + v)
+    apart = total(F.zip_with(one, two, lambda x, y: F.abs(x - y)))
+    return apart * (100 + percent) <= (total(one) + total(two)) * (100 - percent)
+
+
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """`pairs(leader, id)` with their similarity on full sets; the pairs of a frequent leader are cut into pieces."""
+    sets = sets.select("id", "elements")
     ahead = sets.join(pairs.select(F.col("leader").alias("id")).distinct(), "id").select(
         F.col("id").alias("leader"), F.col("elements").alias("theirs"))
     if (ahead.agg(F.sum(F.size("theirs")).alias("n")).first()["n"] or 0) <= BROADCAST_ELEMENTS:
@@ -199,39 +216,46 @@ def _counted(both: DataFrame) -> DataFrame:
 
 def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links `(a, b)` between members of the same bucket `(bucket, id)`, enough to join all that are connected."""
-    found: list[DataFrame] = []
+    found: DataFrame | None = None  # every node with its component, as far as known
     slack = 1 - percent / 100
     # Who shares buckets with most others is nearest to the middle of a group, and the same in all its buckets.
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"))
-    rank = buckets.join(sizes, "bucket").groupBy("id").agg(F.sum("size").alias("met"))
+    rank = buckets.join(sizes, "bucket").groupBy("id").agg(F.sum("size").alias("met"), F.collect_list("bucket").alias("mine"))
     members = materialize(buckets.join(rank, "id").withColumns({"label": F.col("id"), "near": F.lit(None).cast("double")}), "members")
     number = 1
     while True:
         # Later leaders come from outside the component of the bucket's middle.
         first = members.groupBy("bucket").agg(F.max(F.struct("met", "label")).alias("middle"))
-        ranked = members.join(first, "bucket").withColumn("_r", F.row_number().over(
-            Window.partitionBy("bucket").orderBy(F.col("label") == F.col("middle.label") if found else F.lit(0), F.desc("met"), "id")))
+        inside = F.lit(False) if number == 1 else F.col("label") == F.col("middle.label")
+        placed = members.join(first, "bucket").withColumn("place", F.struct(inside.alias("inside"), (-F.col("met")).alias("met"), F.col("id").alias("id")))
+        ranked = placed.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("place")))
         leaders = ranked.filter(F.col("_r") <= number).select(
-            "bucket", F.col("id").alias("leader"), F.col("label").alias("theirs"), F.col("near").alias("leader_near"))
+            "bucket", F.col("id").alias("leader"), F.col("label").alias("theirs"), F.col("near").alias("leader_near"), F.col("place").alias("ahead"), F.col("mine").alias("leads"),
+            *([] if number == 1 else [F.col("spread").alias("leader_spread")]))
         # Two members whose distances to the bucket's middle differ by more than the limit are farther apart than it.
         apart = F.coalesce(F.abs(F.col("near") - F.col("leader_near")) > slack + 1e-9, F.lit(False))
-        meets = members.join(leaders, "bucket").filter((F.col("id") != F.col("leader")) & (F.col("label") != F.col("theirs")) & ~apart)
+        # Two members may share many buckets: the least of them has the pair. The middle meets all in all its buckets.
+        once = F.lit(True) if number == 1 else F.array_min(F.array_intersect("mine", "leads")) == F.col("bucket")
+        close = F.lit(True) if number == 1 else _may_link(F.col("spread"), F.col("leader_spread"), percent)
+        meets = placed.join(leaders, "bucket").filter((F.col("place") > F.col("ahead")) & (F.col("label") != F.col("theirs")) & ~apart & once & close)
         meets = materialize(meets.select("bucket", "id", "leader"), "meets")
         done = materialize(_compared(meets.select("leader", "id").distinct(), sets), "compared")
-        found.append(done.filter(F.col("shared") * 100 >= F.col("joint") * percent).select(F.col("leader").alias("a"), F.col("id").alias("b")))
         if number == 1:
             gauge = meets.join(done.select("leader", "id", (F.col("shared") / F.col("joint")).alias("near")), ["leader", "id"]).select("bucket", "id", "near")
             members = members.drop("near").join(gauge, ["bucket", "id"], "left")
+        new = done.filter(F.col("shared") * 100 >= F.col("joint") * percent).select(F.col("leader").alias("a"), F.col("id").alias("b"))
+        if found is None or not new.isEmpty():
+            known = new if found is None else found.unionByName(new)
+            found = components(known).select(F.col("node").alias("a"), F.col("component").alias("b"))
         gone = leaders.select("bucket", F.col("leader").alias("id"))
-        label = components(reduce(DataFrame.unionByName, found))
-        rest = members.select("bucket", "id", "met", "near").join(gone, ["bucket", "id"], "left_anti").join(label, F.col("id") == F.col("node"), "left")
-        rest = rest.select("bucket", "id", "met", "near", F.coalesce("component", "id").alias("label"))
+        rest = members.select("bucket", "id", "met", "mine", "near").join(gone, ["bucket", "id"], "left_anti").join(found, F.col("id") == F.col("a"), "left")
+        rest = rest.select("bucket", "id", "met", "mine", "near", F.coalesce("b", "id").alias("label"))
         # Members that are joined already need no comparison, and a bucket of such members is done.
         mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
-        members = materialize(rest.join(mixed, "bucket"), "buckets")
+        members = materialize(rest.join(mixed, "bucket").join(sets.select("id", "spread"), "id"), "buckets")
         if members.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        number = LEADERS
+            return found
+        number = min(max(LEADERS, 2 * number), MOST_LEADERS)
 
 
 def near_duplicates(
@@ -257,7 +281,7 @@ def near_duplicates(
     if not buckets.isEmpty():
         wanted = buckets.select(F.col("id").alias("class")).distinct().join(classes, "class")
         read = texts.join(wanted.select(F.col("first").alias("id")), "id", "left_semi")
-        sets = materialize(read.mapInArrow(_full_sets(size), "id bigint, elements array<bigint>"), "sets").dropDuplicates(["id"])
+        sets = materialize(read.mapInArrow(_full_sets(size), "id bigint, elements array<bigint>, spread array<int>"), "sets").dropDuplicates(["id"])
         links.append(_links(buckets, sets, percent))
     found = components(reduce(DataFrame.unionByName, links))
     named = classes.join(found, classes["class"] == found["node"], "left").select(
