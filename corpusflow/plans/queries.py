@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.sequences import (
@@ -741,6 +741,38 @@ def example_audit(spark, sf):
     return examples.example_audit(_masked(spark, sf), MAX_LENGTH)
 
 
+def _masked_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return examples.masked_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base(), F.col("doc_id"), seed=3)
+
+
+@query
+def prepare_inputs_whole(spark, sf):
+    """Whole texts, each batch padded to its longest row."""
+    return _rendered(examples.prepare_inputs(document_batches(spark, sf), bpe.Tokenizer.base()), "doc_id")
+
+
+@query
+def causal_lm_inputs_whole(spark, sf):
+    return _rendered(examples.causal_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base()), "doc_id")
+
+
+@query
+def masked_lm_inputs_whole(spark, sf):
+    return _rendered(_masked_whole(spark, sf), "doc_id")
+
+
+@query
+def masked_token_count_whole(spark, sf):
+    return examples.masked_token_count(_masked_whole(spark, sf))
+
+
+@query
+def example_audit_whole(spark, sf):
+    """Every row must have the length of its batch's longest row."""
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch_id"))
+    return examples.example_audit(_masked_whole(spark, sf).withColumn("_longest", longest), F.col("_longest"))
+
+
 @query
 def custom_collation(spark, sf):
     """Batches with the caller's own columns."""
