@@ -2,9 +2,9 @@
 
 Seeds are the spans of the fixed patterns. The word before an identifier and the
 identifier's shape (runs of digits and of letters) are a lexical pattern. Spark builds
-the graph of patterns and instances and scores it in rounds: a pattern is as reliable
-as the share of all uses of its word that lead to reliable instances, an instance as
-reliable as its patterns make it. Reliable patterns then report identifiers that no
+the graph of patterns and instances and scores it in rounds, until none adds a pattern:
+a pattern is as reliable as the share of all uses of its word that lead to reliable
+instances, an instance as reliable as the reliable patterns make it. Reliable patterns then report identifiers that no
 fixed pattern knows.
 
 Nothing of the graph passes through the driver. A null text is empty; rows are
@@ -29,8 +29,8 @@ CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+(?:[./_:-][A-Za-z0-9]++)*+"
 
+PATTERN = ["word", "shape"]
 LEAST_DIGITS = 5  # digits of an identifier that no fixed pattern knows
-ROUNDS = 3
 LEAST_CONFIDENCE = 0.5
 LEAST_INSTANCES = 5
 BROADCAST_WORDS = 100_000
@@ -113,30 +113,38 @@ def _found(df: DataFrame, key: str) -> DataFrame:
 
 
 def reliable_patterns(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """`(word, shape)` of the patterns that reach LEAST_CONFIDENCE with LEAST_INSTANCES reliable instances."""
+    """`PATTERN` of the patterns that reach LEAST_CONFIDENCE with LEAST_INSTANCES reliable instances.
+
+    A round scores the patterns that are not reliable yet, so a pattern never vouches for itself. Patterns keep the
+    confidence with which they became reliable; the rounds end when none is added.
+    """
     uses = found.select(F.explode("instances").alias("i")).select("i.*").filter("word != ''")
-    edges = materialize(uses.groupBy("word", "shape", "instance").agg(
+    edges = materialize(uses.groupBy("word", *PATTERN[1:], "instance").agg(
         F.count("*").alias("uses"), F.max(F.col("seed").cast("int")).alias("seed")), "pii-edges")
-    # Only patterns with enough seeds can become reliable first; later rounds raise others that share instances.
-    words = edges.groupBy("word").agg(F.sum("seed").alias("seeds")).filter(F.col("seeds") > 0).select("word")
+    # A word with fewer instances can't become reliable; seeds are not needed, as reliable patterns bring others up.
+    words = edges.groupBy("word").agg(F.count_distinct("instance").alias("n")).filter(F.col("n") >= LEAST_INSTANCES).select("word")
     words = materialize(words, "pii-words")
     token = F.regexp_replace(F.lower(F.col("word")), "[0-9]", "9")
     said = texts.select(F.explode(words_of(F.coalesce("text", F.lit("")))).alias("word")).select(token.alias("word"))
     known = F.broadcast(words) if words.count() <= BROADCAST_WORDS else words
     frequency = materialize(said.join(known, "word").groupBy("word").agg(F.count("*").alias("said")), "pii-said")
-    edges = edges.join(frequency, "word").select("*")
-    scores = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    for _ in range(ROUNDS):
-        weighted = edges.join(scores, "instance")
-        patterns = weighted.groupBy("word", "shape").agg(
+    seeds = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
+    edges = materialize(edges.join(frequency, "word").drop("seed").join(seeds, "instance"), "pii-graph")
+    strong: DataFrame | None = None
+    scored = edges
+    while True:
+        patterns = scored.groupBy(*PATTERN).agg(
             F.least(F.lit(1.0), F.sum(F.col("uses") * F.col("score")) / F.max("said")).alias("confidence"),
             F.sum(F.when(F.col("score") >= LEAST_CONFIDENCE, 1).otherwise(0)).alias("support"))
-        patterns = materialize(patterns, "pii-patterns")
-        strong = patterns.filter(F.col("support") >= LEAST_INSTANCES)
-        through = edges.join(strong, ["word", "shape"], "left").groupBy("instance").agg(
-            F.max("seed").alias("seed"), F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999999)))).alias("doubt"))
-        scores = materialize(through.select("instance", F.greatest(F.col("seed").cast("double"), 1 - F.exp("doubt")).alias("score")), "pii-scores")
-    return patterns.filter((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("support") >= LEAST_INSTANCES)).select("word", "shape")
+        new = patterns.filter((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("support") >= LEAST_INSTANCES)).select(*PATTERN, "confidence")
+        new = materialize(new, "pii-patterns")
+        if strong is not None and new.isEmpty():
+            return strong.select(*PATTERN)
+        strong = new if strong is None else materialize(strong.unionByName(new), "pii-strong")
+        doubt = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))).alias("doubt")
+        told = edges.join(strong, PATTERN).groupBy("instance").agg(doubt)
+        open_edges = edges.join(strong, PATTERN, "left_anti").join(told, "instance", "left")
+        scored = open_edges.withColumn("score", F.greatest("score", 1 - F.exp(F.coalesce("doubt", F.lit(0.0)))))
 
 
 def scan_pii(df: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -144,7 +152,7 @@ def scan_pii(df: DataFrame, key: str = "doc_id") -> DataFrame:
     found = materialize(_found(df, key).withColumn("_row", F.monotonically_increasing_id()), "pii")
     patterns = reliable_patterns(found, df)
     free = found.select("_row", F.explode(F.filter("instances", lambda i: ~i["seed"])).alias("i")).select("_row", "i.*")
-    hits = free.join(patterns, ["word", "shape"]).select("_row", F.struct(
+    hits = free.join(patterns, PATTERN).select("_row", F.struct(
         F.lit(4).alias("order"), "start", "end", F.lit(KINDS[4]).alias("kind")).alias("span"))
     more = hits.groupBy("_row").agg(F.sort_array(F.collect_set("span")).alias("more"))
     joined = found.drop("instances").join(more, "_row", "left")
