@@ -1,11 +1,12 @@
 """Personal data in texts: fixed patterns, and patterns of context learned from what these find.
 
-Seeds are the spans of the fixed patterns. The word before an identifier and the
-identifier's shape (runs of digits and of letters) are a lexical pattern. Spark builds
-the graph of patterns and instances and scores it in rounds, until none adds a pattern:
-a pattern is as reliable as the share of all uses of its word that lead to reliable
-instances, an instance as reliable as the reliable patterns make it. Reliable patterns then report identifiers that no
-fixed pattern knows.
+Seeds are the spans of the fixed patterns. The word before an identifier is a lexical
+pattern, whatever the identifier looks like, so emails and phones make a word reliable
+for written-out addresses, plain phones and other numbers after it. Spark builds the
+graph of patterns and instances and scores it in rounds, until none adds a pattern: a
+pattern is as reliable as the share of all uses of its word that lead to reliable
+instances, an instance as reliable as the reliable patterns make it. Reliable patterns
+then report identifiers that no fixed pattern knows.
 
 Nothing of the graph passes through the driver. A null text is empty; rows are
 independent, and repeated rows get repeated answers.
@@ -27,9 +28,17 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+# Candidates of the contexts: addresses written out or without a full domain, digits in groups, and other runs with digits.
+_LOCAL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++"
+_AT = r"\x20?(?:@|[(\[{<](?i:at)[)\]}>])\x20?"
+_DOT = r"(?:\x20?[(\[{<](?i:dot)[)\]}>]\x20?|\x20(?i:dot)\x20|\.)"
+_HOST = r"[A-Za-z0-9-]++"
+ADDRESS = rf"{_LOCAL}(?:{_AT}{_HOST}(?:{_DOT}{_HOST})*+|\x20(?i:at)\x20{_HOST}(?:{_DOT}{_HOST})++)"
+GROUPS = (r"(?<![A-Za-z0-9])\+?\(?[0-9]{1,4}+(?![A-Za-z0-9])(?:\)?(?:[\x20./-]|\x20-\x20)?\(?[0-9]{2,6}+(?![A-Za-z0-9]))++"
+          r"(?![./_:-]?[A-Za-z0-9])")
 IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+(?:[./_:-][A-Za-z0-9]++)*+"
+CANDIDATE = f"{ADDRESS}|{GROUPS}|{IDENTIFIER}"
 
-PATTERN = ["word", "shape"]
 LEAST_DIGITS = 5  # digits of an identifier that no fixed pattern knows
 LEAST_CONFIDENCE = 0.5
 LEAST_INSTANCES = 5
@@ -85,12 +94,13 @@ def context_of(text: Column, start: Column) -> Column:
     return F.regexp_replace(F.lower(word), "[0-9]", "9")
 
 
-def shape_of(found: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(found, "[A-Za-z]+", "A"), "[0-9]+", "9")
+def is_candidate(found: Column) -> Column:
+    """Whether a match of CANDIDATE is an address or has enough digits."""
+    return (F.length(digits(found)) >= LEAST_DIGITS) | found.rlike(rf"\A(?:{ADDRESS})\z")
 
 
 def _found(df: DataFrame, key: str) -> DataFrame:
-    """Per row: base spans, and identifiers with context, shape and whether a base span covers part of them."""
+    """Per row: base spans, and identifiers with context and whether a base span covers part of them."""
     text = F.coalesce(F.col("text"), F.lit(""))
     plain = df.select(F.col(key), text.alias("_t"))
     likely = F.col("_t").rlike("[0-9@]")
@@ -101,27 +111,26 @@ def _found(df: DataFrame, key: str) -> DataFrame:
 
     def instance(start: Column, end: Column, found: Column, seed: Column) -> Column:
         return F.struct(start.alias("start"), end.alias("end"), context_of(F.col("_t"), start).alias("word"),
-                        shape_of(found).alias("shape"), F.xxhash64(F.lower(found)).alias("instance"), seed.alias("seed"))
+                        F.xxhash64(F.lower(found)).alias("instance"), seed.alias("seed"))
 
     seeds = F.transform("base", lambda s: instance(
         s["start"], s["end"], F.substring(F.col("_t"), s["start"] + 1, s["end"] - s["start"]), F.lit(True)))
-    runs = find_spans(F.col("_t"), IDENTIFIER, lambda m: F.length(digits(m)) >= LEAST_DIGITS)
+    runs = find_spans(F.col("_t"), CANDIDATE, is_candidate)
     free = F.filter(runs, lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     others = F.transform(free, lambda r: instance(r["start"], r["end"], r["found"], F.lit(False)))
-    with_digits = F.when(F.col("_t").rlike("[0-9]"), F.concat(seeds, others)).otherwise(seeds)
-    return spans.select(key, *[f"n_{k}" for k in KINDS[:4]], "base", with_digits.alias("instances"))
+    return spans.select(key, *[f"n_{k}" for k in KINDS[:4]], "base", F.concat(seeds, others).alias("instances"))
 
 
 def reliable_patterns(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """`PATTERN` of the patterns that reach LEAST_CONFIDENCE with LEAST_INSTANCES reliable instances.
+    """The words that reach LEAST_CONFIDENCE with LEAST_INSTANCES reliable instances.
 
-    A round scores the patterns that are not reliable yet, so a pattern never vouches for itself. Patterns keep the
+    A round scores the words that are not reliable yet, so a word never vouches for itself. Words keep the
     confidence with which they became reliable; the rounds end when none is added.
     """
     uses = found.select(F.explode("instances").alias("i")).select("i.*").filter("word != ''")
-    edges = materialize(uses.groupBy("word", *PATTERN[1:], "instance").agg(
+    edges = materialize(uses.groupBy("word", "instance").agg(
         F.count("*").alias("uses"), F.max(F.col("seed").cast("int")).alias("seed")), "pii-edges")
-    # A word with fewer instances can't become reliable; seeds are not needed, as reliable patterns bring others up.
+    # A word with fewer instances can't become reliable; seeds are not needed, as reliable words bring others up.
     words = edges.groupBy("word").agg(F.count_distinct("instance").alias("n")).filter(F.col("n") >= LEAST_INSTANCES).select("word")
     words = materialize(words, "pii-words")
     token = F.regexp_replace(F.lower(F.col("word")), "[0-9]", "9")
@@ -133,17 +142,17 @@ def reliable_patterns(found: DataFrame, texts: DataFrame) -> DataFrame:
     strong: DataFrame | None = None
     scored = edges
     while True:
-        patterns = scored.groupBy(*PATTERN).agg(
+        patterns = scored.groupBy("word").agg(
             F.least(F.lit(1.0), F.sum(F.col("uses") * F.col("score")) / F.max("said")).alias("confidence"),
             F.sum(F.when(F.col("score") >= LEAST_CONFIDENCE, 1).otherwise(0)).alias("support"))
-        new = patterns.filter((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("support") >= LEAST_INSTANCES)).select(*PATTERN, "confidence")
+        new = patterns.filter((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("support") >= LEAST_INSTANCES)).select("word", "confidence")
         new = materialize(new, "pii-patterns")
         if strong is not None and new.isEmpty():
-            return strong.select(*PATTERN)
+            return strong.select("word")
         strong = new if strong is None else materialize(strong.unionByName(new), "pii-strong")
         doubt = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))).alias("doubt")
-        told = edges.join(strong, PATTERN).groupBy("instance").agg(doubt)
-        open_edges = edges.join(strong, PATTERN, "left_anti").join(told, "instance", "left")
+        told = edges.join(strong, "word").groupBy("instance").agg(doubt)
+        open_edges = edges.join(strong, "word", "left_anti").join(told, "instance", "left")
         scored = open_edges.withColumn("score", F.greatest("score", 1 - F.exp(F.coalesce("doubt", F.lit(0.0)))))
 
 
@@ -152,7 +161,7 @@ def scan_pii(df: DataFrame, key: str = "doc_id") -> DataFrame:
     found = materialize(_found(df, key).withColumn("_row", F.monotonically_increasing_id()), "pii")
     patterns = reliable_patterns(found, df)
     free = found.select("_row", F.explode(F.filter("instances", lambda i: ~i["seed"])).alias("i")).select("_row", "i.*")
-    hits = free.join(patterns, PATTERN).select("_row", F.struct(
+    hits = free.join(patterns, "word").select("_row", F.struct(
         F.lit(4).alias("order"), "start", "end", F.lit(KINDS[4]).alias("kind")).alias("span"))
     more = hits.groupBy("_row").agg(F.sort_array(F.collect_set("span")).alias("more"))
     joined = found.drop("instances").join(more, "_row", "left")
