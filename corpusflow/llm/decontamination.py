@@ -1,14 +1,16 @@
 """Benchmark decontamination: windows of documents that repeat a benchmark item.
 
-A window of an item's length is compared with the item. Windows come from the
-diagonals on which document and item share a shingle: a window without a common
-shingle has similarity 0. Each window and each item has a 64-bit SimHash over its
-weighted shingles; fingerprints are cut into RADIUS + 1 blocks, and two of them
-within RADIUS agree in one block at least, so the join on blocks finds every pair
-within the radius. Pairs found are verified by exact weighted similarity: shingles
-with their counts, sum of least over sum of largest.
+A window of an item's length is compared with the item. Two sides of a and b shingles
+reach a similarity only with enough of them in common, so windows come from every start
+with as many places of shared shingles, in whatever order they stand. Each window and
+each item has a 64-bit SimHash over its weighted shingles; fingerprints are cut into
+RADIUS + 1 blocks, and two of them within RADIUS agree in one block at least, so the
+join on blocks finds every pair within the radius. Sides with fewer than LEAST_HASHED
+shingles skip the fingerprints, which are too rough for them. What is left is verified by
+exact weighted similarity: shingles with their counts, sum of least over sum of largest.
 
 At similarity 0.8 fingerprints differ by 10 bits on average; more than RADIUS = 21
+LEAST_HASHED = 10
 bits happen with a probability of about 2e-5.
 
 Words are blank-separated and lower-cased. A document shorter than an item is one
@@ -30,6 +32,7 @@ from corpusflow.scratch import materialize
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 RADIUS = 21
+LEAST_HASHED = 10
 BITS = 64
 BROADCAST_SHINGLES = 500_000  # a shingle takes about 40 bytes
 
@@ -64,6 +67,22 @@ def weighted_similarity(one: Column, two: Column) -> Column:
     return let(shared, lambda s: s / (F.size(one) + F.size(two) - s))
 
 
+def starts_of(length: Column, cut: Column) -> Column:
+    """Starts of all windows with enough places of shared shingles, in a text of `length` words."""
+    at, theirs = cut["at"], cut["n"] - cut["size"] + 1
+    mine = F.least(cut["n"], length) - cut["size"] + 1
+    least = F.ceil((mine + theirs) * LEAST_SIMILARITY / (1 + LEAST_SIMILARITY) - 1e-9).cast("int")
+    last = F.greatest(length - cut["n"], F.lit(0))
+
+    def span(j: Column) -> Column:  # starts of windows with `least` places from the j-th on, but not from the one before
+        before = F.when(j > 0, F.least(F.get(at, j - 1), last) + 1)
+        return F.struct(F.greatest(F.get(at, j + least - 1) - mine + 1, F.lit(0), before).alias("low"), F.least(F.get(at, j), last).alias("high"))
+
+    spans = F.filter(F.transform(F.sequence(F.lit(0), F.size(at) - least), span), lambda s: s["low"] <= s["high"])
+    listed = F.flatten(F.transform(spans, lambda s: F.sequence(s["low"], s["high"])))
+    return F.when(F.size(at) < least, F.array().cast("array<int>")).otherwise(listed)
+
+
 def _items(benchmark: DataFrame, key: str) -> DataFrame:
     words = benchmark.select(F.col(key).alias("item"), words_of(F.lower(F.coalesce("text", F.lit("")))).alias("w"))
     size = F.least(F.lit(SHINGLE), F.size("w"))
@@ -82,7 +101,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", item_ke
     items = _items(benchmark, item_key)
     row = F.xxhash64(F.col(key), F.col("text"))
     docs = df.select(F.col(key).alias("doc"), row.alias("_text"), F.lower(F.coalesce("text", F.lit(""))).alias("t"))
-    keys = items.select("item", "n", "size", F.posexplode("theirs").alias("at", "hash"))
+    keys = items.select("item", "n", "size", F.explode("theirs").alias("hash")).distinct()
     small = keys.count() <= BROADCAST_SHINGLES
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most SHINGLE values
     if not sizes:
@@ -94,29 +113,36 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", item_ke
         own = keys.filter(F.col("size") == size)
         said = docs.select("_text", F.posexplode(let(words_of(F.col("t")), lambda w: shingle_hashes(w, size))).alias("pos", "hash"))
         met = said.join(F.broadcast(own) if small else own, "hash")
-        seeds.append(met.select("_text", "item", "n", "size", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start")))
-    starts = materialize(reduce(DataFrame.unionByName, seeds).distinct(), "seeds")
-    wanted = starts.groupBy("_text").agg(F.collect_list(F.struct("item", "n", "size", "start")).alias("cuts"))
+        seeds.append(met.select("_text", "item", "n", "size", "pos"))
+    places = reduce(DataFrame.unionByName, seeds).groupBy("_text", "item", "n", "size").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    # A shorter document has at least LEAST_SIMILARITY of the item's shingles, all of them shared.
+    enough = places.filter(F.size("at") >= LEAST_SIMILARITY * (F.col("n") - F.col("size") + 1) - 1e-9)
+    wanted = materialize(enough.groupBy("_text").agg(F.collect_list(F.struct("item", "n", "size", "at")).alias("cuts")), "seeds")
 
     met = docs.join(wanted, "_text").select("doc", "_text", words_of(F.col("t")).alias("w"), "cuts")
 
-    def window(words: Column, cut: Column) -> Column:
-        at = F.greatest(F.least(cut["start"], F.size(words) - cut["n"]), F.lit(0))
+    def window(words: Column, cut: Column, at: Column) -> Column:
         part = F.slice(words, at + 1, cut["n"])
         mine = F.lit(None).cast("array<bigint>")
         for n in range(1, SHINGLE + 1):
             mine = F.when(cut["size"] == n, shingle_hashes(part, n)).otherwise(mine)
-        return F.struct(cut["item"].alias("item"), at.alias("start"), mine.alias("mine"))
+        return F.struct(cut["item"].alias("item"), at.alias("start"), mine.alias("mine"), (cut["n"] - cut["size"] + 1).alias("most"))
 
-    windows = met.select("doc", "_text", F.explode(F.array_distinct(F.transform("cuts", lambda c: window(F.col("w"), c)))).alias("x"))
-    windows = windows.select("doc", "_text", "x.*").withColumn("blocks", simhash_blocks(F.col("mine")))
+    cut_out = F.flatten(F.transform("cuts", lambda c: F.transform(starts_of(F.size("w"), c), lambda at: window(F.col("w"), c, at))))
+    windows = met.select("doc", "_text", F.explode(cut_out).alias("x")).select("doc", "_text", "x.*")
+    few = F.least(F.size("mine"), F.col("most")) < LEAST_HASHED
+    short = windows.filter(few)
+    windows = windows.filter(~few).withColumn("blocks", simhash_blocks(F.col("mine")))
     theirs = items.select("item", "n", "theirs", F.posexplode("their_blocks").alias("block", "value"), "their_blocks")
     mine = windows.select("doc", "_text", "item", "start", "mine", "blocks", F.posexplode("blocks").alias("block", "value"))
     # A pair agrees in several blocks; the first of them stands for it.
     first = lambda a, b: F.array_position(F.zip_with(a, b, lambda x, y: x == y), F.lit(True)) - 1
     met = mine.join(F.broadcast(theirs) if small else theirs, ["item", "block", "value"]).filter(F.col("block") == first("blocks", "their_blocks"))
     apart = F.aggregate(F.zip_with("blocks", "their_blocks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
-    near = met.filter(apart <= RADIUS).withColumn("similarity", weighted_similarity(F.col("mine"), F.col("theirs")))
+    columns = ["doc", "_text", "item", "n", "start", "mine", "theirs"]
+    own = items.select("item", "n", "theirs")
+    unhashed = short.join(F.broadcast(own) if small else own, "item").select(*columns)
+    near = met.filter(apart <= RADIUS).select(*columns).unionByName(unhashed).withColumn("similarity", weighted_similarity(F.col("mine"), F.col("theirs")))
     hits = near.filter(F.col("similarity") >= LEAST_SIMILARITY)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best")
     per_item = hits.groupBy("doc", "_text", "item", "n").agg(best, F.count_distinct("start").alias("n_windows"))
