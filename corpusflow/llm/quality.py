@@ -37,7 +37,7 @@ class Rule:
 
 
 RULES = (
-    Rule("word_count", "n_words", least=50, largest=1_000_000),
+    Rule("word_count", "n_words", least=50),
     Rule("mean_word_length", "mean_word_length", least=2, largest=25),
     Rule("symbol_ratio", "symbol_ratio", largest=0.1),
     Rule("stop_words", "stop_word_ratio", least=0.02),
