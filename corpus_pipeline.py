@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import decontamination, near_dedup, packing, pii, quality
 from corpusflow.llm.queries import table, tokenizer_path
+from corpusflow.operators.ordering import global_index
 from corpusflow.scratch import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,9 +26,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id. A null id is in no group."""
-    dropped = near_dedup.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    """One row of each group of near-duplicates: the one with the least id, a null id last.
+
+    Rows are told apart by their number in the order of ids, so rows with null or repeated ids are grouped like others.
+    """
+    numbered = global_index(docs.withColumns({"_null": F.col("doc_id").isNull(), "_hash": F.xxhash64("text")}), ["_null", "doc_id", "_hash"], "_number")
+    dropped = near_dedup.near_duplicates(numbered, key="_number").filter(~F.col("kept")).select(F.col("_number").alias("_dropped"))
+    return numbered.join(dropped, F.col("_number") == F.col("_dropped"), "left_anti").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
