@@ -1,11 +1,10 @@
 """Removing byte strings of a fixed length that occur more than once in a corpus.
 
-The suffixes of all texts are interleaved by ever longer prefixes, and a block of
-suffixes that agree so far is refined only while it has two members. This is the
-merge of shard Burrows-Wheeler transforms by interleave refinement, with two
-changes that let it work at scale (the README has figures): it refines by whole
-prefixes instead of one byte at a time, and a block is a hash that Spark counts
-instead of a stretch of one global array. Suffixes are never sorted.
+This is a substitute for the merge of shard Burrows-Wheeler transforms by interleave
+refinement: no transform, interleave or common prefix array is built, and suffixes are
+never sorted. Strings are grouped by minimizers, blocks of them are counted by 64-bit
+hash, and a block is refined only while it has two members. The transforms were not
+tried; the README has an estimate of what they would take, and no measurement.
 
 A string of LENGTH bytes starting at p is represented by the place a(p), the least
 hash of GRAM bytes among the places p to p + REACH - 1 (the last one on ties). Equal
