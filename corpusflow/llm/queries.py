@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
+    alignment,
     decontamination,
     language_id,
+    license_scan,
     lm_scoring,
+    merkle,
     near_dedup,
     packing,
     pii,
@@ -24,12 +27,13 @@ from corpusflow.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+BYTES_TOKENIZER, PIECES_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -96,7 +100,29 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archived_pages(spark, path)
 
 
+def op11_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf, "documents"))
+
+    def labels(*places: Column) -> Column:
+        named = F.concat(*[F.transform(p, lambda x: x["label"]) for p in places])
+        return F.array_join(F.array_sort(F.array_distinct(named)), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"), F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"), labels(F.col("base")).alias("base_labels"),
+        labels(F.col("base"), F.col("notices")).alias("labels"),
+        F.greatest(F.coalesce(F.array_max("notices.coverage"), F.lit(0.0)), F.when(F.size("base") > 0, 1.0).otherwise(0.0)).alias("score"))
+
+
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf, "documents"), tokenizer_path(BYTES_TOKENIZER), tokenizer_path(PIECES_TOKENIZER))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf, "documents"), altered=remainder(2) == 0)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_packing, op3_decontamination, op4_lm_scoring, op5_pii, op6_quality, op7_suffix_dedup, op8_language_id,
-    op9_near_dedup, op10_warc,
+    op9_near_dedup, op10_warc, op11_license_scan, op12_token_alignment, op13_merkle_manifest,
 )}

@@ -68,14 +68,14 @@ class Ranges:
         return mix(value + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of `batches` in pieces of about SLICE_BYTES of text, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` in pieces of about `size` bytes of text, one row at least."""
     for batch in batches:
         at, n = 0, batch.num_rows
         ends = np.asarray(offsets(batch.column(column)))[1:] if n else []
         while at < n:
             before = ends[at - 1] if at else 0
-            stop = max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), at + 1)
+            stop = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
             yield batch.slice(at, stop - at)
             at = stop
 
