@@ -31,7 +31,11 @@ def differences(actual: pd.DataFrame, wanted: pd.DataFrame) -> list[str]:
         return [f"columns {sorted(actual.columns)} / {sorted(wanted.columns)}"]
     found = []
     kinds = {c: (actual[c].dtype.kind, wanted[c].dtype.kind) for c in actual.columns}
-    found += [f"type of {c}: {actual[c].dtype} / {wanted[c].dtype}" for c, (a, b) in kinds.items() if a != b]
+    with_null = {c for c in actual.columns if actual[c].isna().any()}  # whole numbers with a null are floats in pandas
+    found += [
+        f"type of {c}: {actual[c].dtype} / {wanted[c].dtype}"
+        for c, (a, b) in kinds.items() if a != b and not (c in with_null and {a, b} == {"f", "i"})
+    ]
     if len(actual) != len(wanted):
         return [*found, f"rows {len(actual)} / {len(wanted)}"]
     pairs = [(a, b) for a, b in zip(normal(actual), normal(wanted)) if a != b]
