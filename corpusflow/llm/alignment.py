@@ -5,8 +5,9 @@ index. The keys they share, sorted, slice both id lists into groups that cover t
 same bytes; inside a group, tokens whose byte ranges overlap are linked.
 
 A text is cut before a blank or line end that stands alone between other characters.
-Both tokenizers end a token there, so a cut part is aligned by itself, once for all
-its occurrences in a worker's memory. Other runs of blanks are never cut through.
+Both tokenizers end a token there, so a part is aligned once for all its occurrences
+in a worker's memory, all new parts of a slice in one row. Other runs of blanks are
+never cut through.
 
 Counts over the corpus are a product of a sparse matrix with a vector: a slice of
 documents keeps its distinct id pairs and which part of which text holds them; pairs
@@ -23,9 +24,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from itertools import chain
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,10 @@ from corpusflow.functions.bytelevel import byte_characters
 from corpusflow.llm.words import slices
 from corpusflow.scratch import materialize
 
-SLICE_BYTES = 8 << 20
-PARTS = 400_000  # aligned parts a worker remembers
-PART_BYTES = 64 << 20  # and the text they may hold together
+SLICE_BYTES = 4 << 20
+PARTS = 300_000  # parts a worker remembers
+PART_BYTES = 32 << 20  # and the text they may hold together
+AT_ONCE = 5_000  # parts that are tokenized together
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 Batches = Iterator[pa.RecordBatch]
@@ -59,112 +60,135 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         letters = {c: bytes([i]) for i, c in enumerate(byte_characters())}
-        self.a_bytes = {i: b"".join(letters.get(c, c.encode()) for c in token) for token, i in self.a.get_vocab().items()}
-        self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.blank = self.b.piece_to_id("▁")
-
-    def _piece(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-
-    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids on both sides of parts that begin with a blank or a line end; None where they do not spell the part."""
-        left = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = b"".join(letters.get(c, c.encode()) for c in token)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        # Parts may be tokenized apart where no piece reaches over the cut: before a blank, around a line end.
+        if any(re.search(r"[^▁]▁|\n.|.\n", p) for i, p in enumerate(pieces) if not self.b.is_byte(i)):
+            raise ValueError("pieces reach over blanks or line ends")
+
+    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids on both sides of parts that begin with a blank or a line end."""
+        left: list[list[int]] = []
+        for low in range(0, len(parts), AT_ONCE):
+            left += [e.ids for e in self.a.encode_batch_fast(parts[low : low + AT_ONCE], add_special_tokens=False)]
         # The model puts a blank before what it is given: the part's own, or one that no piece joins with a line end.
-        own = [p[0] == " " for p in parts]
-        right = self.b.encode([p[1:] if o else p for p, o in zip(parts, own)], num_threads=1)
-        out = []
-        for part, a, b, o in zip(parts, left, right, own):
-            if not o:
-                b = b[1:] if b and b[0] == self.blank else []
-            spelled = part.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == spelled == b"".join(map(self.b_bytes.__getitem__, b))
-            out.append((a, b) if same else None)
-        return out
+        right = self.b.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
+        return left, [ids if p[0] == " " else ids[1:] for p, ids in zip(parts, right)]
 
 
 def cut(text: str) -> list[str]:
-    """Parts of blank + text that may be tokenized apart."""
+    """Parts of blank + text that may be aligned apart; a part without a blank or line end before it lacks its blank."""
+    if len(text.split()) == text.count(" ") + text.count("\n") + 1:  # every blank and line end stands alone
+        return text.replace("\n", " \n").split(" ")
     return CUT.split(" " + text)
 
 
-@dataclass
-class Group:
-    """Tokens that cover the same bytes, and the pairs of their indexes whose ranges overlap."""
-
-    a: list[int]
-    b: list[int]
-    links: list[tuple[int, int]]
-
-
-def align(a_ids: list[int], b_ids: list[int], a_size: Callable[[int], int], b_size: Callable[[int], int]) -> list[Group]:
-    """Groups between the ends that both sides have; both must cover the same number of bytes."""
-    a_index, b_index = _ends(a_ids, a_size), _ends(b_ids, b_size)
-    groups, i, j = [], 0, 0
-    for end in sorted(a_index.keys() & b_index.keys()):
-        k, m = a_index[end] + 1, b_index[end] + 1
-        a, b = a_ids[i:k], b_ids[j:m]
-        groups.append(Group(a, b, _overlaps([a_size(x) for x in a], [b_size(x) for x in b])))
-        i, j = k, m
-    return groups
-
-
-def _ends(ids: list[int], size: Callable[[int], int]) -> dict[int, int]:
-    """Index of the token that ends at each byte."""
-    ends, at = {}, 0
-    for index, token in enumerate(ids):
-        at += size(token)
-        ends[at] = index
-    return ends
-
-
-def _overlaps(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Pairs of indexes of tokens that share a byte, from their sizes, in one pass over both."""
-    if len(a) == 1 or len(b) == 1:
-        return [(i, j) for i in range(len(a)) for j in range(len(b))]
-    out, i, j, a_end, b_end = [], 0, 0, a[0], b[0]
-    while True:
-        out.append((i, j))
-        first, second = a_end <= b_end, b_end <= a_end
-        if first:
-            i += 1
-        if second:
-            j += 1
-        if i == len(a) or j == len(b):
-            return out
-        a_end += a[i] if first else 0
-        b_end += b[j] if second else 0
+def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Groups and links of tokens of these byte sizes, which add up to the same number.
+
+    Returns the end of each group in bytes, in tokens of both sides, and the indexes
+    of the linked tokens. Inside a group an end of either side closes one overlap, of
+    the two tokens that reach up to it.
+    """
+    a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    a_index = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    b_index = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
+    shared = sorted(a_index.keys() & b_index.keys())
+    a_stop = np.fromiter(map(a_index.__getitem__, shared), np.int64, len(shared))
+    b_stop = np.fromiter(map(b_index.__getitem__, shared), np.int64, len(shared))
+    ends = np.union1d(a_ends, b_ends)
+    return np.array(shared, np.int64), a_stop, b_stop, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
 # Parts of a worker --------------------------------------------------------------
 
 
+class _Numbers(dict):
+    """An unknown key gets the next number."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 class _Parts:
     """What aligned parts come to, by number; forgotten together when there are too many."""
 
     def __init__(self, pair: Pair):
         self.pair = pair
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in side], np.int64) for side in (pair.a_bytes, pair.b_bytes))
+        spell = lambda n, end: np.array([f"{i}{end}" for i in range(n)], object)
+        self.a_text = spell(len(self.a_sizes), ","), spell(len(self.a_sizes), "|")
+        self.b_text = spell(len(self.b_sizes), ","), spell(len(self.b_sizes), ";")
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers = _Numbers()
         self.size = 0
-        self.known: list[bool] = []
-        self.counts: list[tuple[int, int, int, int]] = []  # n_a, n_b, n_groups, n_links
+        self.known = np.zeros(0, bool)
+        self.counts = np.zeros((0, len(REPORT)), np.int64)
         self.text: list[str] = []
-        self.codes: list[list[int]] = []  # a << 32 | b of each link
-
-    def learn(self, parts: list[str]) -> None:
-        new = [p for p in dict.fromkeys(parts) if p not in self.numbers]
-        for part, ids in zip(new, self.pair.encode(new) if new else []):
-            self.numbers[part] = len(self.known)
-            self.size += len(part)
-            groups = align(*ids, lambda i: len(self.pair.a_bytes[i]), lambda i: len(self.pair.b_bytes[i])) if ids else []
-            links = [(g.a[i] << 32) | g.b[j] for g in groups for i, j in g.links]
-            self.known.append(ids is not None)
-            self.counts.append((len(ids[0]), len(ids[1]), len(groups), len(links)) if ids else (0, 0, 0, 0))
-            self.text.append(";".join(f"{','.join(map(str, g.a))}|{','.join(map(str, g.b))}" for g in groups))
-            self.codes.append(links)
+        self.codes = np.zeros(0, np.int64)  # a << 32 | b of each link
+        self.bounds = np.zeros(1, np.int64)  # where the links of each part begin
+
+    def numbered(self, parts: Iterable[str]) -> np.ndarray:
+        found = np.fromiter(map(self.numbers.__getitem__, parts), np.int64)
+        if len(self.numbers) > len(self.text):
+            self._learn(list(islice(self.numbers, len(self.text), None)))
+        return found
+
+    def _learn(self, parts: list[str]) -> None:
+        parts = [p if p[:1] in (" ", "\n") else " " + p for p in parts]
+        self.size += sum(map(len, parts))
+        a, b = self.pair.encode(parts)
+        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(parts)) for side in (a, b))
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
+        known = self._spelled(parts, a_ids, n_a, self.pair.a_bytes) & self._spelled(parts, b_ids, n_b, self.pair.b_bytes)
+        a_ids, b_ids = a_ids[np.repeat(known, n_a)], b_ids[np.repeat(known, n_b)]
+        n_a, n_b = n_a * known, n_b * known
+        shared, a_stop, b_stop, link_a, link_b = align(self.a_sizes[a_ids], self.b_sizes[b_ids])
+        # One list of texts: the tokens of a group on the one side, then on the other.
+        a_last, b_last = np.zeros(len(a_ids), bool), np.zeros(len(b_ids), bool)
+        a_last[a_stop - 1] = b_last[b_stop - 1] = True
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        spelled = np.empty(len(a_ids) + len(b_ids), object)
+        before = np.concatenate(([0], b_stop))
+        for ids_, last, text, place in (
+            (a_ids, a_last, self.a_text, np.arange(len(a_ids)) + before[a_group]),
+            (b_ids, b_last, self.b_text, np.arange(len(b_ids)) + a_stop[b_group] if len(b_ids) else np.zeros(0, np.int64)),
+        ):
+            spelled[place] = np.where(last, text[1][ids_], text[0][ids_])
+        words, stops = spelled.tolist(), np.cumsum(n_a + n_b).tolist()
+        self.text += ["".join(words[low:high]) for low, high in zip([0, *stops], stops)]
+        # Parts end where their tokens end, and so do groups and links.
+        a_stops = np.cumsum(n_a)
+        links = np.searchsorted(link_a, a_stops)
+        groups = np.searchsorted(a_stop, a_stops, "right")
+        sizes = np.diff(links, prepend=0)
+        counts = np.stack([n_a, n_b, np.diff(groups, prepend=0), sizes], 1)
+        self.known, self.counts = np.concatenate((self.known, known)), np.concatenate((self.counts, counts))
+        self.codes = np.concatenate((self.codes, a_ids[link_a] << 32 | b_ids[link_b]))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+
+    def _spelled(self, parts: list[str], ids: np.ndarray, counts: np.ndarray, tokens: list[bytes]) -> np.ndarray:
+        """Which parts their ids spell; one comparison does where all are."""
+        found = list(map(tokens.__getitem__, ids.tolist()))
+        stops = np.cumsum(counts).tolist()
+        if b"".join(found) == "".join(parts).encode():
+            sizes = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+            if np.array_equal(np.cumsum([len(p.encode()) for p in parts]), sizes[np.array(stops) - 1]):
+                return np.ones(len(parts), bool)
+        return np.array([b"".join(found[low:high]) == p.encode() for p, low, high in zip(parts, [0, *stops], stops)], bool)
+
+    def links(self, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the links of these parts, one part after the other, and how many each has."""
+        lengths = self.bounds[used + 1] - self.bounds[used]
+        begins = np.cumsum(lengths) - lengths
+        return self.codes[np.repeat(self.bounds[used] - begins, lengths) + np.arange(lengths.sum())], lengths
 
 
 _workers: dict[tuple[str, str], _Parts] = {}
@@ -185,40 +209,42 @@ def _align_slices(bytes_path: str, pieces_path: str, slice_bytes: int, names: li
     def run(batches: Batches) -> Batches:
         for batch in slices(batches, size=slice_bytes):
             held = _parts(bytes_path, pieces_path)
-            if len(held.known) > PARTS or held.size > PART_BYTES:
+            if len(held.text) > PARTS or held.size > PART_BYTES:
                 held.clear()
-            texts = batch.column("text").to_pylist()
-            split = [cut(t) if t else [] for t in texts]
-            held.learn(list(chain.from_iterable(split)))
-            rows = [[held.numbers[p] for p in parts] for parts in split]
-            rows = [r if all(map(held.known.__getitem__, r)) else [] for r in rows]
-            flat = np.fromiter(chain.from_iterable(rows), np.int64)
-            used, of = np.unique(flat, return_inverse=True)
-            counts = np.array([held.counts[p] for p in used.tolist()], np.int64).reshape(-1, len(REPORT))
-            row_of = np.repeat(np.arange(len(rows)), list(map(len, rows)))
-            report = [np.bincount(row_of, counts[of, k], len(rows)).astype(np.int64) for k in range(len(REPORT))]
-            joined = (";".join(map(held.text.__getitem__, r)) for r in rows)
-            hashes = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in joined]
-            # Links of each part as places among the distinct pairs of the slice.
-            links = [held.codes[p] for p in used.tolist()]
-            code, place = np.unique(np.fromiter(chain.from_iterable(links), np.int64), return_inverse=True)
-            times = np.repeat(np.bincount(of, minlength=len(used)), list(map(len, links)))
-            total = np.bincount(place, times, len(code)).astype(np.int64)
+            split = [cut(t) if t else [] for t in batch.column("text").to_pylist()]
+            lengths = np.fromiter(map(len, split), np.int64, len(split))
+            flat = held.numbered(chain.from_iterable(split))
+            row_of = np.repeat(np.arange(len(split)), lengths)
+            # A text with a part that its tokens do not spell has none.
+            spelled = np.ones(len(split), bool)
+            spelled[row_of[~held.known[flat]]] = False
+            flat, row_of, lengths = flat[spelled[row_of]], row_of[spelled[row_of]], np.where(spelled, lengths, 0)
+            report = [np.bincount(row_of, held.counts[flat, k], len(split)).astype(np.int64) for k in range(len(REPORT))]
+            text, stops = list(map(held.text.__getitem__, flat.tolist())), np.cumsum(lengths).tolist()
+            joined = ["".join(text[low:high]) for low, high in zip([0, *stops], stops)]
+            hashes = [hashlib.sha256(t[:-1].encode()).hexdigest() if t else "" for t in joined]  # groups end with a semicolon
+            # Parts as places among those of the slice, their links as places among the slice's distinct pairs.
+            times = np.bincount(flat, minlength=len(held.text))
+            used = np.flatnonzero(times)
+            order = np.cumsum(times > 0) - 1
+            codes, link_counts = held.links(used)
+            code, place = np.unique(codes, return_inverse=True)
+            total = np.bincount(place, np.repeat(times[used], link_counts), len(code)).astype(np.int64)
             pairs = pa.StructArray.from_arrays(
                 [pa.array((code >> 32).astype(np.int32)), pa.array((code & 0xFFFFFFFF).astype(np.int32)), pa.array(total)], ["a", "b", "n"])
             lists = [
                 *[batch.column(n) for n in names], *map(pa.array, report), pa.array(hashes, pa.string()),
-                _list(of.astype(np.int32), list(map(len, rows))),
+                _list(order[flat].astype(np.int32), lengths),
             ]
             documents = pa.StructArray.from_arrays(lists, [*names, *REPORT, "groups_sha256", "parts"])
             yield pa.RecordBatch.from_arrays(
-                [_list(documents, [len(rows)]), _list(_list(place.astype(np.int32), list(map(len, links))), [len(links)]), _list(pairs, [len(code)])],
+                [_list(documents, [len(split)]), _list(_list(place.astype(np.int32), link_counts), [len(used)]), _list(pairs, [len(code)])],
                 names=["documents", "part_links", "pairs"])
 
     return run
 
 
-def _list(values, lengths: list[int]) -> pa.ListArray:
+def _list(values, lengths: Sequence[int]) -> pa.ListArray:
     values = pa.array(values) if isinstance(values, np.ndarray) else values
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), values)
 

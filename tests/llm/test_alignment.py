@@ -5,6 +5,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "coun
 @pytest.mark.parametrize("size", [alignment.SLICE_BYTES, 200])
 def test_odd_texts_and_small_slices(spark, size):
     rng = random.Random(4)
-    alphabet = ["a", "the", " ", "  ", "\n", "\n\n", "\t", "é", "中", "'s", "ing", "X", "9", ".", "\r", " ", "\x1f", "😀"]
+    alphabet = ["a", "the", ",", "; ", " ", "  ", "\n", "\n\n", "\t", "é", "中", "'s", "ing", "X", "9", ".", "\r", " ", "\x1f", "😀"]
     texts = ODD + ["".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(300)] + [ODD[7]] * 5
     docs = spark.createDataFrame([(None if i % 50 == 0 else i // 2, t, i, "clash") for i, t in enumerate(texts)],
                                  "doc_id bigint, text string, no int, pairs string")
@@ -96,23 +97,23 @@ def test_an_empty_table_and_the_table_of_documents(spark):
     assert [tuple(r[c] for c in COLUMNS) for r in found] == plain([r["text"] for r in rows])
 
 
-def test_groups_and_links_of_ids():
-    size = {1: 1, 2: 2, 3: 3, 4: 4}.__getitem__
-    groups = alignment.align([2, 1, 3, 1], [3, 1, 2, 1], size, size)  # ends 2 3 6 7 and 3 4 6 7
-    assert [(g.a, g.b, g.links) for g in groups] == [
-        ([2, 1], [3], [(0, 0), (1, 0)]), ([3], [1, 2], [(0, 0), (0, 1)]), ([1], [1], [(0, 0)])]
-    crossed = alignment.align([1, 2, 1], [2, 2], size, size)
-    assert [(g.a, g.b, g.links) for g in crossed] == [([1, 2, 1], [2, 2], [(0, 0), (1, 0), (1, 1), (2, 1)])]
+def test_groups_and_links_of_sizes():
+    def aligned(a, b):
+        ends, a_stop, b_stop, *links = alignment.align(np.array(a), np.array(b))
+        return ends.tolist(), a_stop.tolist(), b_stop.tolist(), list(zip(*(x.tolist() for x in links)))
+
+    assert aligned([2, 1, 3, 1], [3, 1, 2, 1]) == ([3, 6, 7], [2, 3, 4], [1, 3, 4], [(0, 0), (1, 0), (2, 1), (2, 2), (3, 3)])
+    assert aligned([1, 2, 1], [2, 2]) == ([4], [3], [2], [(0, 0), (1, 0), (1, 1), (2, 1)])
 
 
 def test_forgetting_parts_changes_nothing(spark, monkeypatch):
     texts = [f"word{i % 9} and w{i}" for i in range(200)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
     held = alignment._Parts(alignment.Pair(*_paths()))
-    held.learn(alignment.cut(texts[0]))
+    held.numbered(alignment.cut(texts[0]))
     held.clear()
-    held.learn(alignment.cut(texts[1]))
-    assert set(held.numbers.values()) == set(range(3))
+    assert held.numbered(alignment.cut(texts[1])).tolist() == [0, 1, 2]
+    monkeypatch.setattr(alignment, "PARTS", 3)
     found = alignment.align_documents(docs, *_paths(), slice_bytes=50).agg(F.sum("count_sum"), F.sum("n_links")).first()
     wanted = plain(texts)
     assert tuple(found) == (sum(w[6] for w in wanted), sum(w[3] for w in wanted))
