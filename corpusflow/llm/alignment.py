@@ -37,10 +37,10 @@ from corpusflow.functions.bytelevel import byte_characters
 from corpusflow.llm.words import slices
 from corpusflow.scratch import materialize
 
-SLICE_BYTES = 4 << 20
-PARTS = 300_000  # parts a worker remembers
+SLICE_BYTES = 3 << 20
+PARTS = 150_000  # parts a worker remembers
 PART_BYTES = 32 << 20  # and the text they may hold together
-AT_ONCE = 5_000  # parts that are tokenized together
+AT_ONCE = 10_000  # parts that are learned together
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 Batches = Iterator[pa.RecordBatch]
@@ -72,9 +72,7 @@ class Pair:
 
     def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids on both sides of parts that begin with a blank or a line end."""
-        left: list[list[int]] = []
-        for low in range(0, len(parts), AT_ONCE):
-            left += [e.ids for e in self.a.encode_batch_fast(parts[low : low + AT_ONCE], add_special_tokens=False)]
+        left = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
         # The model puts a blank before what it is given: the part's own, or one that no piece joins with a line end.
         right = self.b.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
         return left, [ids if p[0] == " " else ids[1:] for p, ids in zip(parts, right)]
@@ -82,7 +80,7 @@ class Pair:
 
 def cut(text: str) -> list[str]:
     """Parts of blank + text that may be aligned apart; a part without a blank or line end before it lacks its blank."""
-    if len(text.split()) == text.count(" ") + text.count("\n") + 1:  # every blank and line end stands alone
+    if text.replace("\n", " ").split(" ") == text.split():  # every blank and line end stands alone
         return text.replace("\n", " \n").split(" ")
     return CUT.split(" " + text)
 
@@ -130,20 +128,24 @@ class _Parts:
         self.numbers = _Numbers()
         self.size = 0
         self.known = np.zeros(0, bool)
-        self.counts = np.zeros((0, len(REPORT)), np.int64)
+        self.counts = np.zeros((0, len(REPORT)), np.int32)
         self.text: list[str] = []
         self.codes = np.zeros(0, np.int64)  # a << 32 | b of each link
         self.bounds = np.zeros(1, np.int64)  # where the links of each part begin
 
     def numbered(self, parts: Iterable[str]) -> np.ndarray:
         found = np.fromiter(map(self.numbers.__getitem__, parts), np.int64)
-        if len(self.numbers) > len(self.text):
-            self._learn(list(islice(self.numbers, len(self.text), None)))
+        new = list(islice(self.numbers, len(self.text), None))
+        learned = [self._learn(new[low : low + AT_ONCE]) for low in range(0, len(new), AT_ONCE)]
+        if learned:
+            self.size += sum(map(len, new))
+            known, counts, codes = (np.concatenate((old, *more)) for old, more in zip((self.known, self.counts, self.codes), zip(*learned)))
+            self.known, self.counts, self.codes = known, counts, codes
+            self.bounds = np.concatenate(([0], np.cumsum(counts[:, -1], dtype=np.int64)))
         return found
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts = [p if p[:1] in (" ", "\n") else " " + p for p in parts]
-        self.size += sum(map(len, parts))
         a, b = self.pair.encode(parts)
         n_a, n_b = (np.fromiter(map(len, side), np.int64, len(parts)) for side in (a, b))
         a_ids, b_ids = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
@@ -168,11 +170,8 @@ class _Parts:
         a_stops = np.cumsum(n_a)
         links = np.searchsorted(link_a, a_stops)
         groups = np.searchsorted(a_stop, a_stops, "right")
-        sizes = np.diff(links, prepend=0)
-        counts = np.stack([n_a, n_b, np.diff(groups, prepend=0), sizes], 1)
-        self.known, self.counts = np.concatenate((self.known, known)), np.concatenate((self.counts, counts))
-        self.codes = np.concatenate((self.codes, a_ids[link_a] << 32 | b_ids[link_b]))
-        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        counts = np.stack([n_a, n_b, np.diff(groups, prepend=0), np.diff(links, prepend=0)], 1).astype(np.int32)
+        return known, counts, a_ids[link_a] << 32 | b_ids[link_b]
 
     def _spelled(self, parts: list[str], ids: np.ndarray, counts: np.ndarray, tokens: list[bytes]) -> np.ndarray:
         """Which parts their ids spell; one comparison does where all are."""
@@ -180,7 +179,7 @@ class _Parts:
         stops = np.cumsum(counts).tolist()
         if b"".join(found) == "".join(parts).encode():
             sizes = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-            if np.array_equal(np.cumsum([len(p.encode()) for p in parts]), sizes[np.array(stops) - 1]):
+            if np.array_equal(np.cumsum([len(p.encode()) for p in parts]), np.concatenate(([0], sizes))[stops]):
                 return np.ones(len(parts), bool)
         return np.array([b"".join(found[low:high]) == p.encode() for p, low, high in zip(parts, [0, *stops], stops)], bool)
 
@@ -230,8 +229,7 @@ def _align_slices(bytes_path: str, pieces_path: str, slice_bytes: int, names: li
             codes, link_counts = held.links(used)
             code, place = np.unique(codes, return_inverse=True)
             total = np.bincount(place, np.repeat(times[used], link_counts), len(code)).astype(np.int64)
-            pairs = pa.StructArray.from_arrays(
-                [pa.array((code >> 32).astype(np.int32)), pa.array((code & 0xFFFFFFFF).astype(np.int32)), pa.array(total)], ["a", "b", "n"])
+            pairs = pa.StructArray.from_arrays([pa.array(code), pa.array(total)], ["code", "n"])
             lists = [
                 *[batch.column(n) for n in names], *map(pa.array, report), pa.array(hashes, pa.string()),
                 _list(order[flat].astype(np.int32), lengths),
@@ -263,11 +261,10 @@ def _weigh(names: list[str], fields: list[pa.Field]):
                 parts = documents.field("parts")
                 flat = parts.flatten().to_numpy()
                 row_of = np.repeat(np.arange(len(documents)), parts.value_lengths().to_numpy())
+                # A slice's pairs were numbered in the order of their codes.
+                weight = weights.field("weight").to_numpy()[np.argsort(weights.field("code").to_numpy())]
                 sums = []
-                for name in ("best", "count"):
-                    value = np.zeros(len(weights), np.int64)
-                    if len(weights):
-                        value[weights.field("at").to_numpy()] = weights.field(name).to_numpy()
+                for value in (weight & 1, weight >> 1):
                     part = _add(part_of, value[of], len(links))
                     sums.append(pa.array(_add(row_of, part[flat], len(documents))))
                 columns = [documents.field(n) for n in (*names, *REPORT, "groups_sha256")]
@@ -289,20 +286,19 @@ def align_documents(docs: DataFrame, bytes_path: str, pieces_path: str, keys: tu
     report = ", ".join(f"{c}: bigint" for c in REPORT)
     schema = (
         f"documents array<struct<{own}, {report}, groups_sha256: string, parts: array<int>>>, part_links array<array<int>>, "
-        "pairs array<struct<a: int, b: int, n: bigint>>"
+        "pairs array<struct<code: bigint, n: bigint>>"
     )
     aligned = docs.select(*keys, "text").mapInArrow(_align_slices(bytes_path, pieces_path, slice_bytes, list(keys)), schema)
     held = materialize(aligned.withColumn("slice", F.monotonically_increasing_id()), "aligned")
 
-    said = held.select("slice", F.posexplode("pairs").alias("at", "pair")).select("slice", "at", "pair.*")
-    totals = said.groupBy("a", "b").agg(F.sum("n").alias("count"))
+    said = held.select("slice", F.inline("pairs"))
+    totals = said.groupBy("code").agg(F.sum("n").alias("count"))
     # The vocabulary of the other side bounds the pairs of an id.
-    highest = F.max("count").over(Window.partitionBy("b"))
-    totals = totals.select("a", "b", "count", F.when(F.col("count") == highest, 1).otherwise(0).cast("bigint").alias("best"))
-    weighed = said.select("slice", "at", "a", "b").join(totals, ["a", "b"]).groupBy("slice").agg(
-        F.collect_list(F.struct("at", "best", "count")).alias("weights"))
+    highest = F.max("count").over(Window.partitionBy(F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))))
+    totals = totals.select("code", (F.col("count") * 2 + (F.col("count") == highest).cast("int")).alias("weight"))
+    weighed = said.select("slice", "code").join(totals, "code").groupBy("slice").agg(F.collect_list(F.struct("code", "weight")).alias("weights"))
     rows = held.select("slice", "documents", "part_links").join(weighed, "slice", "left")
-    rows = rows.select("documents", "part_links", F.coalesce("weights", F.array().cast("array<struct<at:int,best:bigint,count:bigint>>")).alias("weights"))
+    rows = rows.select("documents", "part_links", F.coalesce("weights", F.array().cast("array<struct<code:bigint,weight:bigint>>")).alias("weights"))
     fields = [pa.field(k, to_arrow_type(docs.schema[k].dataType)) for k in keys]
     fields += [pa.field(n, pa.int64()) for n in REPORT]
     fields += [pa.field("groups_sha256", pa.string()), pa.field("n_best", pa.int64()), pa.field("count_sum", pa.int64())]
