@@ -234,9 +234,10 @@ def _align_slices(bytes_path: str, pieces_path: str, slice_bytes: int, names: li
                 *[batch.column(n) for n in names], *map(pa.array, report), pa.array(hashes, pa.string()),
                 _list(order[flat].astype(np.int32), lengths),
             ]
-            documents = pa.StructArray.from_arrays(lists, [*names, *REPORT, "groups_sha256", "parts"])
+            documents = pa.RecordBatch.from_arrays(lists, [*names, *REPORT, "groups_sha256", "parts"])
+            part_links = pa.RecordBatch.from_arrays([_list(place.astype(np.int32), link_counts)], ["places"])
             yield pa.RecordBatch.from_arrays(
-                [_list(documents, [len(split)]), _list(_list(place.astype(np.int32), link_counts), [len(used)]), _list(pairs, [len(code)])],
+                [pa.array([_packed(documents)]), pa.array([_packed(part_links)]), _list(pairs, [len(code)])],
                 names=["documents", "part_links", "pairs"])
 
     return run
@@ -247,27 +248,39 @@ def _list(values, lengths: Sequence[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), values)
 
 
+def _packed(batch: pa.RecordBatch) -> bytes:
+    """A batch as compressed bytes: what belongs to a slice moves as one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(value.as_buffer()).read_next_batch()
+
+
 def _weigh(names: list[str], fields: list[pa.Field]):
     """Documents of each slice with the sums over their links of the pairs' corpus-wide numbers."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for k in range(batch.num_rows):
-                documents = batch.column("documents")[k].values
+                documents = _unpacked(batch.column("documents")[k])
+                links = _unpacked(batch.column("part_links")[k]).column("places")
                 weights = batch.column("weights")[k].values
-                links = batch.column("part_links")[k].values
-                of = links.values[links.offsets[0].as_py() : links.offsets[-1].as_py()].to_numpy() if len(links) else np.zeros(0, np.int32)
-                part_of = np.repeat(np.arange(len(links)), np.diff(links.offsets.to_numpy()))
-                parts = documents.field("parts")
+                of = links.flatten().to_numpy()
+                part_of = np.repeat(np.arange(len(links)), links.value_lengths().to_numpy())
+                parts = documents.column("parts")
                 flat = parts.flatten().to_numpy()
-                row_of = np.repeat(np.arange(len(documents)), parts.value_lengths().to_numpy())
+                row_of = np.repeat(np.arange(documents.num_rows), parts.value_lengths().to_numpy())
                 # A slice's pairs were numbered in the order of their codes.
                 weight = weights.field("weight").to_numpy()[np.argsort(weights.field("code").to_numpy())]
                 sums = []
                 for value in (weight & 1, weight >> 1):
                     part = _add(part_of, value[of], len(links))
-                    sums.append(pa.array(_add(row_of, part[flat], len(documents))))
-                columns = [documents.field(n) for n in (*names, *REPORT, "groups_sha256")]
+                    sums.append(pa.array(_add(row_of, part[flat], documents.num_rows)))
+                columns = [documents.column(n) for n in (*names, *REPORT, "groups_sha256")]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*columns, *sums], fields)], schema=pa.schema(fields))
 
     return run
@@ -282,12 +295,7 @@ def _add(groups: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 def align_documents(docs: DataFrame, bytes_path: str, pieces_path: str, keys: tuple[str, ...] = ("doc_id",),
                     slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """`keys` of every row with its token, group and link numbers, `groups_sha256`, and over its links `n_best` and `count_sum`."""
-    own = ", ".join(f"`{k}`: {docs.schema[k].dataType.simpleString()}" for k in keys)
-    report = ", ".join(f"{c}: bigint" for c in REPORT)
-    schema = (
-        f"documents array<struct<{own}, {report}, groups_sha256: string, parts: array<int>>>, part_links array<array<int>>, "
-        "pairs array<struct<code: bigint, n: bigint>>"
-    )
+    schema = "documents binary, part_links binary, pairs array<struct<code: bigint, n: bigint>>"
     aligned = docs.select(*keys, "text").mapInArrow(_align_slices(bytes_path, pieces_path, slice_bytes, list(keys)), schema)
     held = materialize(aligned.withColumn("slice", F.monotonically_increasing_id()), "aligned")
 
