@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.operators.ordering import PART, group_positions, newest_per_group, ordered_layout, scan
+from corpusflow.operators.stopping import mark_best
 from corpusflow.scratch import materialize
 
 MOVING_WINDOW = 100
@@ -86,64 +86,37 @@ def best_so_far(log: DataFrame, run: str, keys: Sequence[str], loss: str) -> Dat
     return scanned.withColumn("is_best", better)
 
 
-def _greedy_improvements(run: str, loss: str, min_delta: float):
-    """Mark the rows that replace the best score; rows come sorted by run and step."""
-
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, best = None, None
-        for batch in batches:
-            flags = []
-            for name, value in zip(batch[run].tolist(), batch[loss].tolist()):
-                score = -value
-                if best is None or name != current:
-                    current, best = name, score
-                    flags.append(True)
-                elif score < best + min_delta:
-                    flags.append(False)
-                else:
-                    best = score
-                    flags.append(True)
-            yield batch.assign(_improved=flags)
-
-    return mark
-
-
 def early_stopping(
     log: DataFrame, run: str, keys: Sequence[str], loss: str, patience: int = 5, min_delta: float = 0.0
 ) -> DataFrame:
     """Counter and latched stop flag after every validation loss of every run.
 
-    A loss that does not beat the best score by `min_delta` raises the counter;
-    any other loss becomes the best and resets it; an equal loss resets it when
-    `min_delta` is 0. The flag stays once `patience` is reached.
-
-    Only a loss at or below the running minimum can become the best, so that
-    minimum is scanned first, in parallel. With `min_delta` 0 it decides alone;
-    otherwise a fold with constant state picks from those few candidates.
+    The counter is the number of losses since the best one, where a loss at most the
+    best so far less `min_delta` becomes the best; the flag stays once the counter has
+    reached `patience`. Rows without a loss are no checks: they repeat the counter.
     """
-    layout = ordered_layout(log.select(run, *keys, loss), [run, *keys], position=None)
-    scanned = scan(
-        layout, [run], keys, {"_least": ("min", F.col(loss)), "_row": ("sum", F.lit(1).cast("bigint"))}
-    )
-    candidate = F.col("_least").isNull() | (F.col(loss) <= F.col("_least")) | F.lit(min_delta < 0)
-    if min_delta == 0:
-        marked = scanned.withColumn("_improved", candidate)
-    else:
-        scanned = materialize(scanned, "losses")
-        rows = scanned.filter(candidate).select(run, *keys, loss)
-        folded = (
-            rows.repartition(F.col(run))
-            .sortWithinPartitions(run, *keys)
-            .mapInPandas(_greedy_improvements(run, loss, min_delta), rows.schema.add("_improved", "boolean"))
-        )
-        improved = folded.filter("_improved").select(run, *keys, "_improved")
-        marked = scanned.join(improved, [run, *keys], "left")
-    reset = F.when(F.coalesce("_improved", F.lit(False)), F.col("_row"))
-    marked = marked.select(*layout.columns, "_row", reset.alias("_reset"))
-    counted = materialize(scan(marked, [run], keys, {"_last": ("max", F.col("_reset"))}, inclusive=True), "counters")
-    counted = counted.withColumn("counter", F.col("_row") - F.col("_last"))
+    rows = log.select(run, *keys, F.col(loss).cast("double").alias(loss))
+    layout = ordered_layout(rows.filter(F.col(loss).isNotNull()), [run, *keys], position="_at")
+    marked = materialize(mark_best(layout, run, loss, min_delta), "marked")
+    # Every run begins with a best loss, so the last one before a row is of its own run.
+    counted = scan(marked, [run], keys, {"_last": ("max", F.when(F.col("_best"), F.col("_at")))}, inclusive=True)
+    counted = materialize(counted.withColumn("counter", F.col("_at") - F.col("_last")), "counters")
     latched = scan(counted, [run], keys, {"_highest": ("max", F.col("counter"))}, inclusive=True)
-    return latched.select(run, *keys, loss, "counter", (F.col("_highest") >= patience).alias("early_stop"))
+    checks = latched.select(run, *keys, loss, "counter", (F.col("_highest") >= patience).alias("early_stop"))
+    empty = rows.filter(F.col(loss).isNull())
+    return checks if empty.isEmpty() else _with_empty(checks, empty, run, keys)
+
+
+def _with_empty(checks: DataFrame, empty: DataFrame, run: str, keys: Sequence[str]) -> DataFrame:
+    """Rows without a loss beside the checks, with what the check before them came to, or 0 and false."""
+    both = checks.unionByName(empty.withColumns({"counter": F.lit(None).cast("bigint"), "early_stop": F.lit(None).cast("boolean")}))
+    layout = ordered_layout(both, [run, *keys], position="_at")
+    # The latest check is the one of the greatest position.
+    known = F.when(F.col("counter").isNotNull(), F.struct("_at", "counter", "early_stop"))
+    filled = scan(layout, [run], keys, {"_seen": ("max", known)}, inclusive=True)
+    zero, no = F.lit(0).cast("bigint"), F.lit(False)
+    return filled.select(*[c for c in checks.columns if c not in ("counter", "early_stop")],
+                         F.coalesce("_seen.counter", zero).alias("counter"), F.coalesce("_seen.early_stop", no).alias("early_stop"))
 
 
 def early_stopping_summary(log: DataFrame, run: str, step: str, loss: str, patience: int = 5,
@@ -151,7 +124,7 @@ def early_stopping_summary(log: DataFrame, run: str, step: str, loss: str, patie
     """Per run: losses seen, whether it stopped and at which step."""
     stops = early_stopping(log, run, [step], loss, patience, min_delta)
     return stops.groupBy(run).agg(
-        F.count("*").alias("checks"),
+        F.count(loss).alias("checks"),
         F.bool_or("early_stop").alias("stopped"),
         F.min(F.when(F.col("early_stop"), F.col(step))).alias("stop_step"),
     )

@@ -75,6 +75,44 @@ def test_early_stopping(spark, patience, min_delta):
         assert (summary[run]["stopped"], summary[run]["stop_step"]) == (bool(stops), stops[0] if stops else None)
 
 
+LONG = {
+    "steady": lambda r, i: 100 - 0.01 * i,
+    "noisy": lambda r, i: 50 / (1 + 0.01 * i) + r.random(),
+    "rising": lambda r, i: 0.001 * i,
+    "saw": lambda r, i: 10 - 0.002 * i + i % 7,
+    "holes": lambda r, i: float("nan") if i % 97 == 5 else float("inf") if i % 101 == 7 else -0.0 if i % 50 == 3 else r.random(),
+    "ties": lambda r, i: float(5 - i // 400 + i % 2),
+}
+
+
+@pytest.mark.parametrize("min_delta", [0.0, 0.05, 1.0, -0.1])
+def test_long_runs_over_many_ranges_equal_a_fold(spark, min_delta):
+    rng = random.Random(9)
+    cases = {name: [f(rng, i) for i in range(1500)] for name, f in LONG.items()} | {f"s{k}": [rng.random() for _ in range(k)] for k in range(1, 60)}
+    cases[None] = [rng.random() for _ in range(700)]
+    rows = [(run, i, loss) for run, losses in cases.items() for i, loss in enumerate(losses)]
+    table = spark.createDataFrame(rows, "run string, step bigint, loss double").repartition(4)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(keep, ("37", "false")):
+            spark.conf.set(k, v)
+        stops = runs.early_stopping(table, "run", ["step"], "loss", 6, min_delta).collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    got = {(r["run"], r["step"]): (r["counter"], r["early_stop"]) for r in stops}
+    assert got == {(run, i): x for run, losses in cases.items() for i, x in enumerate(fold(losses, 6, min_delta))}
+
+
+def test_rows_without_a_loss_are_no_checks(spark):
+    losses = [None, 2.0, None, 2.5, 2.6, None, 1.0, None]
+    table = spark.createDataFrame([(1, i, v) for i, v in enumerate(losses)] + [(2, 0, None)], "run int, step bigint, loss double")
+    stops = runs.early_stopping(table, "run", ["step"], "loss", 2, 0.1).orderBy("run", "step").collect()
+    assert [(r["counter"], r["early_stop"]) for r in stops] == [
+        (0, False), (0, False), (0, False), (1, False), (2, True), (2, True), (0, True), (0, True), (0, False)]
+    assert runs.early_stopping(table.limit(0), "run", ["step"], "loss").count() == 0
+
+
 def test_two_losses_without_improvement_stop(spark):
     table = spark.createDataFrame([(1, i, v) for i, v in enumerate([2.5, 2.52, 2.55])], "run int, step bigint, loss double")
     stops = runs.early_stopping(table, "run", ["step"], "loss", 2, 0.01).orderBy("step").collect()
