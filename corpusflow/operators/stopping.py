@@ -107,7 +107,9 @@ def _marked(run: str, loss: str, min_delta: float):
                 reached[onward[np.flatnonzero(reached)]] = True
                 reached[NONE] = False
                 onward = onward[onward]
-            yield rows.drop(columns=["_entry", "_long"]).assign(_best=reached[:-1])
+            # A NaN in a plain float column would come back as NULL.
+            exact = pd.arrays.FloatingArray(rows[loss].to_numpy(float), np.zeros(len(rows), bool))
+            yield rows.drop(columns=["_entry", "_long"]).assign(**{loss: exact, "_best": reached[:-1]})
 
     return mark
 

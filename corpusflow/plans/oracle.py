@@ -134,14 +134,20 @@ def _stops(order: str, losses: str = "losses") -> str:
     )
 
 
-STOPS_WITH_DELTA = (
-    f"RECURSIVE {LOSSES}, numbered AS (SELECT run_id, step, value, row_number() OVER (PARTITION BY run_id ORDER BY step) AS n FROM losses), "
-    "fold AS (SELECT run_id, n, step, -value AS best, 0 AS counter, false AS stop FROM numbered WHERE n = 1 UNION ALL "
-    "SELECT f.run_id, m.n, m.step, CASE WHEN -m.value < f.best + 0.25::DOUBLE THEN f.best ELSE -m.value END, "
-    "CASE WHEN -m.value < f.best + 0.25::DOUBLE THEN f.counter + 1 ELSE 0 END, "
-    "f.stop OR (-m.value < f.best + 0.25::DOUBLE AND f.counter + 1 >= 5) "
-    "FROM fold f JOIN numbered m ON m.run_id = f.run_id AND m.n = f.n + 1)"
-)
+def _stops_with_delta(delta: str, patience: int, order: str = "step", run: str = "run_id", losses: str = LOSSES) -> str:
+    """A fold over the losses of each run in order; -loss is the score to beat."""
+    worse = f"-m.value < f.best + {delta}::DOUBLE"
+    return (
+        f"RECURSIVE {losses}, numbered AS (SELECT {run}, step, value, row_number() OVER (PARTITION BY {run} ORDER BY {order}) AS n FROM losses), "
+        f"fold AS (SELECT {run}, n, step, -value AS best, 0 AS counter, false AS stop FROM numbered WHERE n = 1 UNION ALL "
+        f"SELECT f.{run}, m.n, m.step, CASE WHEN {worse} THEN f.best ELSE -m.value END, "
+        f"CASE WHEN {worse} THEN f.counter + 1 ELSE 0 END, f.stop OR ({worse} AND f.counter + 1 >= {patience}) "
+        f"FROM fold f JOIN numbered m ON m.{run} = f.{run} AND m.n = f.n + 1)"
+    )
+
+
+STOPS_WITH_DELTA = _stops_with_delta("0.25", 5)
+LONG_LOSSES = "losses AS (SELECT event_type AS name, ts, event_id AS step, value - event_id * 0.01::DOUBLE AS value FROM events)"
 WINDOWS = (
     f"{STREAM}, shifted AS (SELECT pos, token_id, lead(token_id) OVER (ORDER BY pos) AS next_id, max(pos) OVER () AS last FROM stream), "
     "windows AS (SELECT pos // 128 * 128 AS window_start, string_agg(token_id::VARCHAR, ' ' ORDER BY pos) AS input_ids, "
@@ -252,6 +258,7 @@ ORACLE: dict[str, str] = {
     "best_so_far": f"WITH {LOSSES} SELECT run_id, step, value, best_before, best_before IS NULL OR value < best_before AS is_best FROM (SELECT *, min(value) OVER (PARTITION BY run_id ORDER BY ts, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM losses)",
     "early_stopping": f"WITH {LOSSES}, {_stops('ts, step')} SELECT run_id, step, counter, early_stop FROM stops",
     "early_stopping_with_delta": f"WITH {STOPS_WITH_DELTA} SELECT run_id, count(*) AS checks, bool_or(stop) AS stopped, coalesce(min(CASE WHEN stop THEN step END), -1) AS stop_step FROM fold GROUP BY run_id",
+    "early_stopping_long_runs": f"WITH {_stops_with_delta('0.5', 20, 'ts, step', 'name', LONG_LOSSES)} SELECT name, step AS event_id, counter, stop AS early_stop FROM fold",
     "checkpoint_retention": f"WITH {CATALOG} SELECT run_id, step, path FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS n FROM catalog) WHERE n <= 5",
     "assign_batches": "SELECT doc_id, n // 16 AS batch_id, (n % 16)::INTEGER AS slot FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n, count(*) OVER () AS total FROM documents) WHERE n // 16 < total // 16",
     "assign_batches_keep_last": "SELECT doc_id, n // 16 AS batch_id, (n % 16)::INTEGER AS slot FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents)",
@@ -290,5 +297,6 @@ ORACLE: dict[str, str] = {
     "validation_batches": f"WITH {WINDOWS}, placed AS (SELECT *, row_number() OVER (ORDER BY window_start) - 1 AS n FROM windows) SELECT n // 16 AS batch_id, (n % 16)::INTEGER AS slot, window_start, input_ids FROM placed",
     # streams
     "stream_metric_tracker": f"WITH {LOG} SELECT name, round(avg(value), 6) AS average, arg_max(value, (ts, event_id)) AS latest, count(*) AS updates FROM log GROUP BY name",
+    "stream_early_stopping_late": f"WITH {_stops_with_delta('0.25', 5, 'ts, step')} SELECT run_id, count(*) AS checks, arg_max(counter, n) AS counter, -arg_max(best, n) AS best_loss, bool_or(stop) AS stopped, coalesce(min_by(step, n) FILTER (stop), -1) AS stop_step FROM fold GROUP BY run_id",
     "stream_early_stopping": f"WITH {LOSSES}, {_stops('step')} SELECT run_id, count(*) AS checks, arg_max(counter, step) AS counter, min(value) AS best_loss, bool_or(early_stop) AS stopped, coalesce(min(CASE WHEN early_stop THEN step END), -1) AS stop_step FROM stops GROUP BY run_id",
 }

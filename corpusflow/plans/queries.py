@@ -548,6 +548,14 @@ def early_stopping_with_delta(spark, sf):
     return stops.withColumn("stop_step", F.coalesce("stop_step", F.lit(-1).cast("bigint")))
 
 
+@query
+def early_stopping_long_runs(spark, sf):
+    """Five runs hold all rows, and their losses fall with noise, so that many of them become the best."""
+    log = metric_log(spark, sf).withColumn("loss", F.col("value") - F.col("event_id") * 0.01)
+    stops = runs.early_stopping(log, "name", UPDATE, "loss", patience=20, min_delta=0.5)
+    return stops.select("name", "event_id", "counter", "early_stop")
+
+
 @query
 def checkpoint_retention(spark, sf):
     return runs.checkpoint_retention(checkpoints(spark, sf)).select("run_id", "step", "path")
@@ -840,9 +848,39 @@ def stream_metric_tracker(spark, sf):
     return final.select("name", rounded("average").alias("average"), "latest", "updates")
 
 
+def _last_checks(spark: SparkSession, arrivals: list[DataFrame], delay: str, patience: int, min_delta: float) -> DataFrame:
+    """Append one arrival after the other and let a query, restarted from its checkpoint each time, take it."""
+    losses, reports, state = (scratch_path(spark, n) for n in ("losses", "reports", "state"))
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(losses)
+        stream = spark.readStream.schema(arrival.schema).parquet(losses).withWatermark("ts", delay)
+        stops = stream_runs.stream_early_stopping(stream, "run_id", "step", "value", patience, min_delta, time="ts")
+        with stream_runs.rocksdb_state(spark):
+            run = stops.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True)
+            run.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(reports)).start().awaitTermination()
+    rows = spark.read.parquet(reports)
+    columns = [c for c in rows.columns if c != "run_id"]
+    return rows.groupBy("run_id").agg(F.max_by(F.struct(*columns), "checks").alias("_last")).select("run_id", "_last.*")
+
+
 @query
 def stream_early_stopping(spark, sf):
     losses = _event_stream(spark, sf).select(F.col("user_id").alias("run_id"), F.col("event_id").alias("step"), "value")
-    final = _final_state(spark, stream_runs.stream_early_stopping(losses, "run_id", "step", "value"), "run_id", "checks")
+    with stream_runs.rocksdb_state(spark):
+        final = _final_state(spark, stream_runs.stream_early_stopping(losses, "run_id", "step", "value"), "run_id", "checks")
+    stop_step = F.coalesce("stop_step", F.lit(-1).cast("bigint")).alias("stop_step")
+    return final.select("run_id", "checks", "counter", "best_loss", "stopped", stop_step)
+
+
+@query
+def stream_early_stopping_late(spark, sf):
+    """Losses that arrive in four parts, some up to an eighth of the log's time too late, with a restart before each part."""
+    log = loss_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    seconds = F.unix_seconds("ts")
+    first, last = log.agg(F.min(seconds), F.max(seconds)).first()
+    eighth = max((last - first) // 8, 1)
+    held_up = F.pmod(F.xxhash64("step"), F.lit(eighth))
+    part = F.least(F.floor((seconds - first + held_up) / (2 * eighth)), F.lit(3))
+    final = _last_checks(spark, [log.filter(part == k) for k in range(4)], f"{eighth + 1} seconds", 5, 0.25)
     stop_step = F.coalesce("stop_step", F.lit(-1).cast("bigint")).alias("stop_step")
     return final.select("run_id", "checks", "counter", "best_loss", "stopped", stop_step)

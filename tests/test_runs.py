@@ -102,6 +102,7 @@ def test_long_runs_over_many_ranges_equal_a_fold(spark, min_delta):
             spark.conf.set(k, v)
     got = {(r["run"], r["step"]): (r["counter"], r["early_stop"]) for r in stops}
     assert got == {(run, i): x for run, losses in cases.items() for i, x in enumerate(fold(losses, 6, min_delta))}
+    assert {(r["run"], r["step"]): str(abs(r["loss"])) for r in stops} == {(run, i): str(abs(x)) for run, i, x in rows}
 
 
 def test_rows_without_a_loss_are_no_checks(spark):
