@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.bytelevel import alphabet, base_ids, byte_characters, byte_ids, words_by_line, words_of
 from corpusflow.functions.sequences import SPECIAL_TOKENS
-from corpusflow.scratch import materialize
+from corpusflow.scratch import discard, materialize
 
 Pair = tuple[int, int]
-GUIDE_WORDS = 50_000
+GUIDE_WORDS, GUIDE_WORDS_PER_TOKEN = 50_000, 40  # words that merges are planned from: at least, and for each token wanted
 FIRST_BATCH, LARGEST_BATCH = 64, 512
 FOLD_AFTER = 256
+TOP_PAIRS = 8192  # pair counts that the driver reads for a pass
 
 
 @dataclass(frozen=True)
@@ -211,7 +212,7 @@ def _summed(codes: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class _PairQueue:
-    """Pair counts with the best pair at hand; at most one entry per pair of vocabulary entries."""
+    """Pair counts with the best pair at hand."""
 
     def __init__(self, counts: dict[Pair, int]):
         self.counts = counts
@@ -279,48 +280,50 @@ def train_bpe(df: DataFrame, vocab_size: int = 5000, min_frequency: int = 2) ->
 
 
 def train_bpe_on_words(words: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
-                       guide_words: int = GUIDE_WORDS) -> Tokenizer:
+                       guide_words: int | None = None, top_pairs: int = TOP_PAIRS) -> Tokenizer:
     """As `train_bpe`, from a `(word, cnt)` table.
 
     One Spark job per merge would repeat thousands of passes over the words.
-    Instead each pass replays a plan of many merges over all words and returns
-    how every merge changes the pair counts. The exact counts then show how far
-    the plan holds: merges are taken up to the first one that is not the most
-    frequent pair. The plan comes from a fixed number of words, so it may be
-    wrong but the result may not. Pair counts are bounded by the square of the
-    vocabulary size.
+    Instead each pass replays a plan of many merges over all words, which gives how
+    every merge changes the pair counts. The plan comes from a fixed number of words,
+    so it may be wrong but the result may not: merges are taken up to the first one
+    that is not the most frequent pair.
+
+    All pair counts stay in a table. The driver holds the `top_pairs` most frequent
+    ones and those that the changes of a pass can lift to the last of these. Any other
+    pair ranks behind that one, so a merge that does not is the most frequent of all;
+    where the best one does, the pass ends and the most frequent are read anew.
     """
     several = words.filter(F.octet_length("word") > 1)
     spelled = materialize(_spread(several.select("word", byte_ids(F.col("word")).alias("ids"), "cnt")), "words")
-    guide = _guide(spelled.select("word", "cnt"), guide_words)
+    guide = _guide(spelled.select("word", "cnt"), guide_words or max(GUIDE_WORDS, GUIDE_WORDS_PER_TOKEN * vocab_size))
     table = spelled.select("ids", "cnt")
     pairs = table.mapInArrow(_pairs_of_words, "left int, right int, cnt bigint")
-    totals = pairs.groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
-    exact = {(r["left"], r["right"]): r["cnt"] for r in totals.collect()}
+    counts = materialize(pairs.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")), "pairs")
 
     tokenizer, folded, size = Tokenizer.base(), 0, FIRST_BATCH
     while tokenizer.vocab_size < vocab_size:
-        plan = _plan(tokenizer, exact, guide, vocab_size, min_frequency, size)
+        top = [(r["left"], r["right"], r["cnt"]) for r in most_frequent_pairs(counts, top_pairs).collect()]
+        last = top[-1] if len(top) == top_pairs else None
+        known = {(left, right): cnt for left, right, cnt in top}
+        plan = _plan(tokenizer, known, guide, vocab_size, min_frequency, size)
         if not plan:
             break
         pending = list(tokenizer.merges[folded:])
         if len(pending) >= FOLD_AFTER:
             table = materialize(_spread(table.mapInArrow(_apply(pending), table.schema)), "words")
             folded, pending = len(tokenizer.merges), []
-        changes: list[dict[Pair, int]] = [{} for _ in plan]
         replayed = table.mapInArrow(_replay(pending, plan), "step int, left int, right int, delta bigint")
         totals = replayed.groupBy("step", "left", "right").agg(F.sum("delta").alias("delta"))
-        for step, left, right, delta in zip(*totals.filter("delta <> 0").toArrow().to_pydict().values()):
-            changes[step][(left, right)] = delta
-
-        queue = _PairQueue(exact)
-        taken: list[Pair] = []
-        for (left, right, _), change in zip(plan, changes):
-            top = queue.best()
-            if top is None or top[1] < min_frequency or top[0] != (left, right):
-                break
-            taken.append(top[0])
-            queue.update(change)
+        changes = materialize(totals.filter("delta <> 0"), "changes")
+        lifted, steps = _reaching(counts, changes, last, len(plan))
+        taken = _held(plan, known | lifted, steps, last, min_frequency)
+
+        before = counts
+        made = changes.filter(F.col("step") < len(taken)).select("left", "right", F.col("delta").alias("cnt"))
+        now = before.unionByName(made).groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0")
+        counts = materialize(now, "pairs")
+        discard(before, changes)
         tokenizer = tokenizer.extended(taken)
         for left, right, merged in tokenizer.merges[len(tokenizer.merges) - len(taken):]:
             guide.merge((left, right), merged)
@@ -328,6 +331,42 @@ def train_bpe_on_words(words: DataFrame, vocab_size: int = 5000, min_frequency:
     return tokenizer
 
 
+def _reaching(counts: DataFrame, changes: DataFrame, last: tuple[int, int, int] | None,
+              steps: int) -> tuple[dict[Pair, int], list[dict[Pair, int]]]:
+    """Counts of the pairs that changes may lift as far as `last`, and per step the changes of these and of the pairs up to it."""
+    pair = ["left", "right"]
+    gains = changes.filter("delta > 0").groupBy(pair).agg(F.sum("delta").alias("gain"))
+    grown = gains.join(counts, pair, "left").select(*pair, F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt"), "gain")
+    if last is None:
+        ahead, wanted = grown, changes
+    else:
+        left, right, floor = last
+        leading = (F.col("cnt") > floor) | ((F.col("cnt") == floor) & (F.struct(*pair) <= F.struct(F.lit(left), F.lit(right))))
+        ahead = grown.filter((F.col("cnt") + F.col("gain") >= floor) & ~leading)
+        wanted = changes.join(ahead.select(*pair).unionByName(counts.filter(leading).select(*pair)), pair, "left_semi")
+    lifted = {(a, b): n for a, b, n in zip(*ahead.select(*pair, "cnt").toArrow().to_pydict().values())}
+    found: list[dict[Pair, int]] = [{} for _ in range(steps)]
+    for step, a, b, delta in zip(*wanted.select("step", *pair, "delta").toArrow().to_pydict().values()):
+        found[step][(a, b)] = delta
+    return lifted, found
+
+
+def _held(plan: list[tuple[int, int, int]], counts: dict[Pair, int], changes: list[dict[Pair, int]],
+          last: tuple[int, int, int] | None, min_frequency: int) -> list[Pair]:
+    """How far the plan is right: its merges up to the first that is not the best, or that ranks behind `last`."""
+    queue = _PairQueue({p: n for p, n in counts.items() if n > 0})
+    taken: list[Pair] = []
+    for (left, right, _), change in zip(plan, changes):
+        best = queue.best()
+        if best is None or best[1] < min_frequency or best[0] != (left, right):
+            break
+        if last is not None and (-best[1], *best[0]) > (-last[2], *last[:2]):
+            break
+        taken.append(best[0])
+        queue.update(change)
+    return taken
+
+
 def _spread(words: DataFrame) -> DataFrame:
     """Merging is work per word, so the table is split by rows and not by bytes."""
     spark = words.sparkSession

@@ -1,7 +1,7 @@
 """ANSI SQL with the same results as `corpusflow.plans.queries`, for another engine to check them.
 
-No entry exists for results that depend on trained merges; those are tested
-against a public tokenizer package, and through the texts they decode to.
+Merges are trained by SQL as well, for a small vocabulary; larger ones are tested
+against a public tokenizer package.
 """
 
 from __future__ import annotations
@@ -148,6 +148,17 @@ def _stops_with_delta(delta: str, patience: int, order: str = "step", run: str =
 
 STOPS_WITH_DELTA = _stops_with_delta("0.25", 5)
 LONG_LOSSES = "losses AS (SELECT event_type AS name, ts, event_id AS step, value - event_id * 0.01::DOUBLE AS value FROM events)"
+# Symbols of a word stand between bars, |1||2|, so that replacing a pair leaves its neighbours' bars alone.
+TRAINED = (
+    "RECURSIVE words AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(line || chr(10), '" + _WORDS + "')) AS word "
+    "FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word), "
+    f"coded AS (SELECT word, cnt, {_byte_ids('word')} AS ids FROM words), "
+    "trained AS (SELECT 0 AS step, -1 AS l, -1 AS r, word, cnt, '|' || array_to_string(ids::VARCHAR[], '||') || '|' AS syms FROM coded WHERE len(ids) > 1 "
+    "UNION ALL SELECT t.step + 1, m.l, m.r, t.word, t.cnt, replace(t.syms, '|' || m.l || '||' || m.r || '|', '|' || (260 + t.step) || '|') "
+    "FROM trained t JOIN (SELECT ids[i]::INTEGER AS l, ids[i + 1]::INTEGER AS r FROM (SELECT cnt, ids, unnest(range(1, len(ids))) AS i "
+    "FROM (SELECT cnt, string_split(trim(syms, '|'), '||') AS ids FROM trained)) GROUP BY l, r ORDER BY sum(cnt) DESC, l, r LIMIT 1) m ON true "
+    "WHERE t.step < 40)"
+)
 WINDOWS = (
     f"{STREAM}, shifted AS (SELECT pos, token_id, lead(token_id) OVER (ORDER BY pos) AS next_id, max(pos) OVER () AS last FROM stream), "
     "windows AS (SELECT pos // 128 * 128 AS window_start, string_agg(token_id::VARCHAR, ' ' ORDER BY pos) AS input_ids, "
@@ -219,6 +230,7 @@ ORACLE: dict[str, str] = {
     "pretoken_counts": f"WITH {WORDS} SELECT word, cnt FROM words",
     "pair_counts": f'WITH {PAIRS} SELECT "left", "right", cnt FROM pairs',
     "most_frequent_pair": f'WITH {PAIRS} SELECT "left", "right", cnt FROM pairs ORDER BY cnt DESC, "left", "right" LIMIT 10',
+    "train_bpe_ids": f"WITH {TRAINED} SELECT DISTINCT (step - 1)::INTEGER AS rank, l AS left_id, r AS right_id, (259 + step)::INTEGER AS merged_id FROM trained WHERE step > 0",
     "split_counts": f"WITH {KEPT}, {_split('kept', None)} SELECT split, count(*) AS samples FROM splits GROUP BY split",
     "batch_max_length": f"WITH {ENCODED} SELECT doc_id, doc_id // 16 AS batch_id, (max(len(ids)) OVER (PARTITION BY doc_id // 16))::INTEGER AS batch_length FROM encoded",
     "metric_average": f"WITH {LOG} SELECT round(avg(value), 6) AS average FROM log WHERE name = 'purchase'",
@@ -278,6 +290,7 @@ ORACLE: dict[str, str] = {
     "split_complement": "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id DESC) AS n FROM documents) WHERE n > 50",
     # encoding and training examples
     "encode_corpus": f"WITH {ENCODED} SELECT doc_id, {_joined('input_ids')} AS input_ids, array_to_string(list_transform(input_ids, lambda x: '0'), ' ') AS token_type_ids, array_to_string(list_transform(input_ids, lambda x: '1'), ' ') AS attention_mask FROM encoded",
+    "encode_corpus_merged": f"WITH {TRAINED}, spelled AS (SELECT word, replace(trim(syms, '|'), '||', ' ') AS ids FROM trained WHERE step = 40 UNION ALL SELECT word, ids[1]::VARCHAR FROM coded WHERE len(ids) = 1), said AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS n FROM (SELECT doc_id, regexp_extract_all(text, '{_WORDS}') AS w FROM documents)) SELECT doc_id, '0 ' || string_agg(ids, ' ' ORDER BY n) || ' 1' AS input_ids FROM said JOIN spelled USING (word) GROUP BY doc_id",
     "encode_batches": f"WITH {ENCODED}, sized AS (SELECT doc_id, input_ids, len(input_ids) AS n, max(len(input_ids)) OVER (PARTITION BY doc_id // 16) AS longest FROM encoded) SELECT doc_id, array_to_string(list_concat(input_ids::VARCHAR[], list_transform(range(n, longest), lambda i: '3')), ' ') AS input_ids, array_to_string(list_transform(range(0, longest), lambda i: '0'), ' ') AS token_type_ids, array_to_string(list_transform(range(0, longest), lambda i: CASE WHEN i < n THEN '1' ELSE '0' END), ' ') AS attention_mask FROM sized",
     "add_special": f"WITH {CLEANED} SELECT doc_id, {_joined('list_concat([0], ' + _byte_ids('text') + ', [1])')} AS ids FROM cleaned",
     "truncate": f"WITH {CLEANED} SELECT doc_id, {_joined('list_concat([0], ' + _byte_ids('text') + ', [1])[1:64]')} AS ids FROM cleaned",

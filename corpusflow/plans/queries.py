@@ -319,6 +319,14 @@ def train_bpe(spark, sf):
     return vocabulary.merges_table(spark, bpe.train_bpe(documents(spark, sf), SMALL_VOCAB))
 
 
+@query
+def train_bpe_ids(spark, sf):
+    """The trained merges as ids, which SQL can train as well."""
+    merges = bpe.train_bpe(documents(spark, sf), SMALL_VOCAB).merges
+    rows = [(rank, *merge) for rank, merge in enumerate(merges)]
+    return spark.createDataFrame(rows, "rank int, left_id int, right_id int, merged_id int")
+
+
 @query
 def vocab_size(spark, sf):
     return vocabulary.vocab_size(vocabulary.vocab_table(spark, small_tokenizer(spark, sf)))

@@ -35,6 +35,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `materialize` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        root = scratch_root(spark).rstrip("/")
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getParent().toUri().getPath() == spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath():
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table; one whose files give fewer splits than there are cores is spread over them."""
     table = spark.read.parquet(path)

@@ -28,9 +28,9 @@ def spelled(tokenizer):
     return [(tokenizer.tokens[a], tokenizer.tokens[b]) for a, b, _ in tokenizer.merges]
 
 
-def check(spark, texts, vocab_size, min_frequency, folder, guide_words=bpe.GUIDE_WORDS):
+def check(spark, texts, vocab_size, min_frequency, folder, **options):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    ours = bpe.train_bpe_on_words(bpe.pretoken_counts(df), vocab_size, min_frequency, guide_words)
+    ours = bpe.train_bpe_on_words(bpe.pretoken_counts(df), vocab_size, min_frequency, **options)
     _, tokens, merges = package_tokenizer(texts, vocab_size, min_frequency, folder)
     assert spelled(ours) == merges
     assert list(ours.tokens) == tokens
@@ -51,6 +51,21 @@ def test_few_guide_words_change_nothing(spark, tmp_path):
     check(spark, texts, 360, 2, tmp_path, guide_words=5)
 
 
+@pytest.mark.parametrize("top_pairs", [1, 12, 60])
+def test_few_pair_counts_in_the_driver_change_nothing(spark, tmp_path, top_pairs):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdef") for _ in range(rng.randint(2, 9))) for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(40)] + ["aaaa aaa aaaaaa abab ababab"]
+    check(spark, texts, 275 if top_pairs == 1 else 330, 2, tmp_path, top_pairs=top_pairs, guide_words=50)
+
+
+def test_a_vocabulary_of_5000_matches_the_package(spark, tmp_path):
+    docs = load_table(spark, "/root/testdata/sf0.001/documents.parquet").select("text")
+    ours = bpe.train_bpe_on_words(bpe.pretoken_counts(docs), 5000, top_pairs=1000)
+    _, tokens, merges = package_tokenizer([r["text"] for r in docs.collect()], 5000, 2, tmp_path)
+    assert spelled(ours) == merges and list(ours.tokens) == tokens
+
+
 @pytest.mark.parametrize(
     "texts",
     [
