@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import digest
+from corpusflow.functions.permutation import permuted
 from corpusflow.operators.bpe import Tokenizer
 from corpusflow.operators.encode import encode_ids, with_special
 from corpusflow.operators.ordering import PART, ordered_layout, shuffle_partitions
@@ -101,6 +102,28 @@ def assign_batches(examples: DataFrame, keys: Sequence[str], batch_size: int, dr
     return batched.drop("position", PART)
 
 
+def window_count(stream: DataFrame, length: int, stride: int = 1) -> int:
+    """How many windows `sliding_windows` cuts, from the place and length of the documents alone."""
+    tokens = stream.agg(F.max(F.col("start_pos") + F.col("n_tokens"))).first()[0] or 0
+    return max((tokens - length - 1) // stride + 1, 0)
+
+
+def place_batches(windows: DataFrame, count: int, stride: int, batch_size: int, permute: tuple[int, int] | None = None) -> DataFrame:
+    """Add `batch_id` and `slot` to the windows of a stream without ordering them.
+
+    A window's index is known from its start. With `permute`, a seed and an epoch, its
+    place is the permuted index and an incomplete last batch is dropped; otherwise the
+    place is the index and all windows are kept.
+    """
+    index = F.floor(F.col("window_start") / stride)
+    place = permuted(index, count, *permute) if permute else index
+    placed = windows.withColumn("_place", place)
+    if permute:
+        placed = placed.filter(F.col("_place") < count // batch_size * batch_size)
+    batch, slot = F.floor(F.col("_place") / batch_size), (F.col("_place") % batch_size).cast("int")
+    return placed.withColumns({"batch_id": batch, "slot": slot}).drop("_place")
+
+
 def loader_length(examples: DataFrame, batch_size: int, drop_last: bool) -> DataFrame:
     """Number of batches an epoch has."""
     batches = F.count("*") / batch_size

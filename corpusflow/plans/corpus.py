@@ -15,7 +15,14 @@ from corpusflow.operators.samples import (
     tokenizer_corpus,
     validation_cap,
 )
-from corpusflow.operators.windows import assign_batches, encoded_stream, shuffle_examples, sliding_windows
+from corpusflow.operators.windows import (
+    assign_batches,
+    encoded_stream,
+    place_batches,
+    shuffle_examples,
+    sliding_windows,
+    window_count,
+)
 from corpusflow.scratch import materialize
 
 
@@ -56,18 +63,25 @@ def make_training_batches(
     seed: int = 0,
     epoch: int = 0,
     collate: dict[str, Column] | None = None,
+    sort: bool = True,
 ) -> DataFrame:
     """`(batch_id, slot, window_start, input_ids, labels)`, and the columns that `collate` computes from these.
 
     Training examples are shuffled and an incomplete last batch is dropped;
     otherwise they stay in stream order and all are kept. Stride 1 repeats every
     token `seq_length` times; a stride of `seq_length` repeats none.
+
+    With `sort` the shuffled order is that of hashed keys, which range partitions the
+    windows. Without it a keyed permutation gives each window its place, and the
+    windows stay where they were cut.
     """
-    windows = sliding_windows(encoded_stream(samples, keys, tokenizer), seq_length, stride)
-    if training:
+    stream = encoded_stream(samples, keys, tokenizer)
+    windows = sliding_windows(stream, seq_length, stride)
+    if training and sort:
         shuffled = shuffle_examples(windows, seed=seed, epoch=epoch)
         batches = assign_batches(shuffled, ["shuffle_key", "window_start"], batch_size, drop_last=True)
     else:
-        batches = assign_batches(windows, ["window_start"], batch_size, drop_last=False)
+        count = window_count(stream, seq_length, stride) if training else 0
+        batches = place_batches(windows, count, stride, batch_size, (seed, epoch) if training else None)
     batches = batches.select("batch_id", "slot", "window_start", "input_ids", "labels")
     return batches.withColumns(collate) if collate else batches

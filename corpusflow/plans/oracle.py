@@ -6,6 +6,7 @@ against a public tokenizer package.
 
 from __future__ import annotations
 
+from corpusflow.functions.permutation import FIRST, MASK, ROUNDS, SECOND
 from corpusflow.functions.text import STRIP_CODES
 
 _STRIP = "[" + "".join(rf"\x{{{code:x}}}" for code in STRIP_CODES) + "]"
@@ -148,6 +149,22 @@ def _stops_with_delta(delta: str, patience: int, order: str = "step", run: str =
 
 STOPS_WITH_DELTA = _stops_with_delta("0.25", 5)
 LONG_LOSSES = "losses AS (SELECT event_type AS name, ts, event_id AS step, value - event_id * 0.01::DOUBLE AS value FROM events)"
+def _permuted(index: str, n: str, seed: int, epoch: int) -> str:
+    """Place of an index in a keyed order: rounds that swap x with (turn - x) mod n by a bit of the larger."""
+    keys = f"list_transform(range({ROUNDS}), lambda r: md5('{seed}|{epoch}|' || r))"
+    steps = (
+        f"list_transform({keys}, lambda h: {{'turn': ('0x' || substr(h, 1, 15))::BIGINT % {n}, "
+        f"'key': ('0x' || substr(h, 16, 8))::BIGINT & {MASK}, 'x': 0::BIGINT}})"
+    )
+    other = f"(((k.turn - s.x) % {n} + {n}) % {n})"
+    folded = f"xor(xor(greatest(s.x, {other}) & {MASK}, greatest(s.x, {other}) >> 31), k.key)"
+    one = f"(({folded} * {FIRST}) & {MASK})"
+    two = f"((xor({one}, {one} >> 15) * {SECOND}) & {MASK})"
+    start = f"{{'turn': 0::BIGINT, 'key': 0::BIGINT, 'x': ({index})::BIGINT}}"
+    step = f"{{'turn': 0::BIGINT, 'key': 0::BIGINT, 'x': CASE WHEN ({two} >> 17) & 1 = 1 THEN {other} ELSE s.x END}}"
+    return f"struct_extract(list_reduce(list_prepend({start}, {steps}), lambda s, k: {step}), 'x')"
+
+
 # Symbols of a word stand between bars, |1||2|, so that replacing a pair leaves its neighbours' bars alone.
 TRAINED = (
     "RECURSIVE words AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(line || chr(10), '" + _WORDS + "')) AS word "
@@ -279,6 +296,8 @@ ORACLE: dict[str, str] = {
     # sorts, limits, top-k
     "head_per_split": f"WITH {WITH_VALIDATION} SELECT split, sample_no, text FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY sample_no) AS n FROM splits) WHERE n <= CASE split WHEN 'train' THEN 50 ELSE 40 END",
     "shuffle_examples": "SELECT doc_id, row_number() OVER (ORDER BY md5('7|1|' || doc_id), doc_id) - 1 AS place FROM documents",
+    "shuffle_permuted": f"SELECT doc_id, {_permuted('idx', 'n', 7, 1)} AS place FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS n FROM documents)",
+    "training_batches_permuted": f"WITH {WINDOWS}, numbered AS (SELECT *, window_start // 128 AS idx, count(*) OVER () AS n FROM windows), placed AS (SELECT *, {_permuted('idx', 'n', 5, 2)} AS place FROM numbered) SELECT place // 16 AS batch_id, (place % 16)::INTEGER AS slot, window_start, input_ids, labels FROM placed WHERE place // 16 < n // 16",
     "top_k_filter": f"WITH {SCORED} SELECT vec_id, idx::INTEGER AS idx FROM (SELECT *, max(CASE WHEN place = 10 THEN logit END) OVER (PARTITION BY vec_id) AS kth FROM ranked) WHERE logit >= kth",
     "top_n_indices": f"WITH {SCORED} SELECT vec_id, string_agg(idx::VARCHAR, ' ' ORDER BY place) AS top_indices FROM ranked WHERE place <= 5 GROUP BY vec_id",
     "argmax": f"WITH {SCORED} SELECT vec_id, idx::INTEGER AS predicted FROM ranked WHERE place = 1",

@@ -19,6 +19,7 @@ from corpusflow.functions.sequences import (
     truncate_ids,
 )
 from corpusflow.functions.logits import IGNORE_INDEX, valid_label
+from corpusflow.functions.permutation import permuted
 from corpusflow.operators import bpe, encode, evaluation, examples, runs, samples, vocabulary, windows
 from corpusflow.operators.ordering import global_index
 from corpusflow.plans.corpus import create_dataset_splits, make_training_batches
@@ -818,6 +819,22 @@ def training_batches(spark, sf):
     )
 
 
+@query
+def training_batches_permuted(spark, sf):
+    """Places from a keyed permutation: no sort of the windows."""
+    batches = make_training_batches(documents(spark, sf), DOC, bpe.Tokenizer.base(), LENGTH, BATCH, LENGTH, seed=5, epoch=2, sort=False)
+    return batches.select(
+        "batch_id", "slot", "window_start", text_of("input_ids").alias("input_ids"), text_of("labels").alias("labels")
+    )
+
+
+@query
+def shuffle_permuted(spark, sf):
+    """The documents' numbers 0 .. N-1 permuted."""
+    rows = global_index(documents(spark, sf).select("doc_id"), DOC)
+    return rows.select("doc_id", permuted(F.col("idx"), rows.count(), seed=7, epoch=1).alias("place"))
+
+
 @query
 def validation_batches(spark, sf):
     batches = make_training_batches(

@@ -1,8 +1,10 @@
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from corpusflow.functions.permutation import permuted
 from corpusflow.operators import bpe, windows
 from corpusflow.plans.corpus import make_training_batches
 
@@ -72,3 +74,39 @@ def test_training_batches(spark):
     starts = [r[2] for r in order(training=False)]
     assert starts == list(range(len(starts))) and set(r[2] for r in first) <= set(starts)
     assert len(starts) - len(first) < 4
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 10007])
+def test_permutations_are_bijections_that_depend_on_the_key(spark, n):
+    rows = spark.range(n)
+    orders = [
+        [r[0] for r in rows.select(permuted(F.col("id"), n, seed, epoch)).collect()] for seed, epoch in ((0, 0), (0, 1), (1, 0))
+    ]
+    assert all(sorted(o) == list(range(n)) for o in orders)
+    if n >= 64:
+        assert orders[0] != orders[1] != orders[2]
+        far = np.abs(np.array(orders[0]) - np.arange(n))
+        assert n / 4 < far.mean() < n / 2  # a third of n for a random order
+        steps = np.abs(np.diff(orders[0]))
+        assert n / 4 < steps.mean() < n / 2 and len(set(steps.tolist())) > n / 3
+
+
+def test_large_ranges_stay_in_range(spark):
+    n = 2**61 - 1
+    places = spark.createDataFrame([(0,), (1,), (n // 2,), (n - 1,)], "id bigint").select(permuted(F.col("id"), n)).collect()
+    assert len({r[0] for r in places}) == 4 and all(0 <= r[0] < n for r in places)
+
+
+def test_permuted_batches_hold_every_window_once_and_are_not_sorted(spark):
+    df = spark.createDataFrame([(i, "x" * (i * 7 % 50)) for i in range(100)], "id int, text string")
+    stream = windows.encoded_stream(df, ["id"], bpe.Tokenizer.base())
+    cut = windows.sliding_windows(stream, 8, 3)
+    count = windows.window_count(stream, 8, 3)
+    assert count == cut.count()
+    placed = windows.place_batches(cut, count, 3, 16, (4, 0))
+    rows = placed.select("batch_id", "slot", "window_start").collect()
+    assert sorted(r["batch_id"] * 16 + r["slot"] for r in rows) == list(range(count // 16 * 16))
+    assert len({r["window_start"] for r in rows}) == count // 16 * 16
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert windows.window_count(stream.limit(0), 8, 3) == 0
