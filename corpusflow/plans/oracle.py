@@ -181,17 +181,17 @@ WINDOWS = (
     "windows AS (SELECT pos // 128 * 128 AS window_start, string_agg(token_id::VARCHAR, ' ' ORDER BY pos) AS input_ids, "
     "string_agg(next_id::VARCHAR, ' ' ORDER BY pos) AS labels FROM shifted WHERE pos // 128 * 128 + 128 <= last GROUP BY pos // 128)"
 )
-FITTED = (  # inputs of fixed length
-    f"{ENCODED}, fitted AS (SELECT doc_id, list_concat(input_ids[1:64], list_transform(range(0, greatest(64 - len(input_ids), 0)), lambda i: 3)) AS input_ids, "
-    "least(len(input_ids), 64) AS n FROM encoded)"
+FITTED = (  # inputs as long as the longest of their batch
+    f"{ENCODED}, sized AS (SELECT doc_id, input_ids, len(input_ids) AS n, max(len(input_ids)) OVER (PARTITION BY doc_id // 16) AS longest FROM encoded), "
+    "fitted AS (SELECT doc_id, list_concat(input_ids, list_transform(range(n, longest), lambda i: 3)) AS input_ids, n, longest FROM sized)"
 )
 _FIT_MASKS = (
-    "array_to_string(list_transform(range(1, 65), lambda i: CASE WHEN i <= n THEN '1' ELSE '0' END), ' ') AS attention_mask, "
-    "array_to_string(list_transform(range(1, 65), lambda i: '0'), ' ') AS token_type_ids"
+    "array_to_string(list_transform(range(0, longest), lambda i: CASE WHEN i < n THEN '1' ELSE '0' END), ' ') AS attention_mask, "
+    "array_to_string(list_transform(range(0, longest), lambda i: '0'), ' ') AS token_type_ids"
 )
 MASKED = (
     f"{FITTED}, drawn AS (SELECT doc_id, i, input_ids[i] AS token, md5('3|' || doc_id || '|' || (i - 1)) AS code FROM "
-    "(SELECT doc_id, input_ids, unnest(range(1, 65)) AS i FROM fitted)), "
+    "(SELECT doc_id, input_ids, unnest(range(1, longest + 1)) AS i FROM fitted)), "
     f"changed AS (SELECT doc_id, i, CASE WHEN token IN (0, 1, 3) OR {_uniform('code', 0)} >= 0.15::DOUBLE THEN token "
     f"WHEN {_uniform('code', 1)} < 0.8::DOUBLE THEN 2 WHEN {_uniform('code', 2)} < 0.5::DOUBLE "
     f"THEN floor({_uniform('code', 3)} * 260)::INTEGER ELSE token END AS id FROM drawn), "
@@ -321,7 +321,7 @@ ORACLE: dict[str, str] = {
     "causal_lm_inputs": f"WITH {FITTED} SELECT doc_id, {_joined('input_ids')} AS input_ids, {_joined('list_concat(input_ids[2:], [3])')} AS labels, {_FIT_MASKS} FROM fitted",
     "masked_lm_inputs": f"WITH {MASKED} SELECT doc_id, {_joined('masked.input_ids')} AS input_ids, {_joined('fitted.input_ids')} AS labels, {_FIT_MASKS} FROM fitted JOIN masked USING (doc_id)",
     "masked_token_count": f"WITH {MASKED} SELECT count(*) AS masked_tokens FROM changed WHERE id = 2",
-    "example_audit": f"WITH {MASKED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE list_contains(input_ids, 2)) AS with_mask, count(*) FILTER (WHERE len(input_ids) = 64) AS of_length, count(*) AS labels_fit FROM masked",
+    "example_audit": f"WITH {MASKED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE list_contains(masked.input_ids, 2)) AS with_mask, count(*) FILTER (WHERE len(masked.input_ids) = longest) AS of_length, count(*) FILTER (WHERE len(masked.input_ids) = len(fitted.input_ids)) AS labels_fit FROM masked JOIN fitted USING (doc_id)",
     "custom_collation": f"WITH {WINDOWS} SELECT window_start, array_to_string(list_transform(range(128), lambda i: '1'), ' ') AS attention_mask, split_part(labels, ' ', 1)::INTEGER AS first_label FROM windows",
     "alignment_check": "SELECT true AS aligned",
     "sample_next_token": f"WITH {_sampling('0.7', 40, '0.9')}, cumulated AS (SELECT *, sum(p) OVER (PARTITION BY vec_id ORDER BY place) AS upto, {_uniform('''md5('11|' || vec_id)''')} AS u FROM nucleus) SELECT vec_id, coalesce(arg_min(CASE WHEN upto > u THEN idx END, CASE WHEN upto > u THEN place END), arg_max(idx, place))::INTEGER AS next_token FROM cumulated GROUP BY vec_id",
@@ -332,3 +332,5 @@ ORACLE: dict[str, str] = {
     "stream_early_stopping_late": f"WITH {_stops_with_delta('0.25', 5, 'ts, step')} SELECT run_id, count(*) AS checks, arg_max(counter, n) AS counter, -arg_max(best, n) AS best_loss, bool_or(stop) AS stopped, coalesce(min_by(step, n) FILTER (stop), -1) AS stop_step FROM fold GROUP BY run_id",
     "stream_early_stopping": f"WITH {LOSSES}, {_stops('step')} SELECT run_id, count(*) AS checks, arg_max(counter, step) AS counter, min(value) AS best_loss, bool_or(early_stop) AS stopped, coalesce(min(CASE WHEN early_stop THEN step END), -1) AS stop_step FROM stops GROUP BY run_id",
 }
+for _name in ("prepare_inputs", "causal_lm_inputs", "masked_lm_inputs", "masked_token_count", "example_audit"):
+    ORACLE[f"{_name}_whole"] = ORACLE[_name]

@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LENGTH = 128  # tokens in a training window
 BATCH = 16
-MAX_LENGTH = 64  # tokens of a padded example
+MAX_LENGTH = 64  # tokens that `truncate` keeps
 DOC = ["doc_id"]
 CONV = ["conv_id", "turn"]
 UPDATE = ["ts", "event_id"]
@@ -725,69 +725,42 @@ def decode_batches(spark, sf):
     return encode.decode_corpus(batches.select("doc_id", F.col("input_ids").alias("ids")), tokenizer)
 
 
-@query
+def whole_query(function: Query) -> Query:
+    """Registered under its name and, as before, with `_whole`: texts are never cut."""
+    QUERIES[f"{function.__name__}_whole"] = function
+    return query(function)
+
+
+@whole_query
 def prepare_inputs(spark, sf):
-    inputs = examples.prepare_inputs(document_batches(spark, sf), bpe.Tokenizer.base(), max_length=MAX_LENGTH)
-    return _rendered(inputs, "doc_id")
+    """Whole texts, each batch padded to its longest row."""
+    return _rendered(examples.prepare_inputs(document_batches(spark, sf), bpe.Tokenizer.base()), "doc_id")
 
 
-@query
+@whole_query
 def causal_lm_inputs(spark, sf):
-    inputs = examples.causal_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base(), max_length=MAX_LENGTH)
-    return _rendered(inputs, "doc_id")
+    return _rendered(examples.causal_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base()), "doc_id")
 
 
 def _masked(spark: SparkSession, sf: str) -> DataFrame:
-    return examples.masked_lm_inputs(
-        document_batches(spark, sf), bpe.Tokenizer.base(), F.col("doc_id"), max_length=MAX_LENGTH, seed=3
-    )
+    return examples.masked_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base(), F.col("doc_id"), seed=3)
 
 
-@query
+@whole_query
 def masked_lm_inputs(spark, sf):
     return _rendered(_masked(spark, sf), "doc_id")
 
 
-@query
+@whole_query
 def masked_token_count(spark, sf):
     return examples.masked_token_count(_masked(spark, sf))
 
 
-@query
+@whole_query
 def example_audit(spark, sf):
-    return examples.example_audit(_masked(spark, sf), MAX_LENGTH)
-
-
-def _masked_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return examples.masked_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base(), F.col("doc_id"), seed=3)
-
-
-@query
-def prepare_inputs_whole(spark, sf):
-    """Whole texts, each batch padded to its longest row."""
-    return _rendered(examples.prepare_inputs(document_batches(spark, sf), bpe.Tokenizer.base()), "doc_id")
-
-
-@query
-def causal_lm_inputs_whole(spark, sf):
-    return _rendered(examples.causal_lm_inputs(document_batches(spark, sf), bpe.Tokenizer.base()), "doc_id")
-
-
-@query
-def masked_lm_inputs_whole(spark, sf):
-    return _rendered(_masked_whole(spark, sf), "doc_id")
-
-
-@query
-def masked_token_count_whole(spark, sf):
-    return examples.masked_token_count(_masked_whole(spark, sf))
-
-
-@query
-def example_audit_whole(spark, sf):
     """Every row must have the length of its batch's longest row."""
     longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch_id"))
-    return examples.example_audit(_masked_whole(spark, sf).withColumn("_longest", longest), F.col("_longest"))
+    return examples.example_audit(_masked(spark, sf).withColumn("_longest", longest), F.col("_longest"))
 
 
 @query
