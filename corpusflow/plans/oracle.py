@@ -281,6 +281,8 @@ ORACLE: dict[str, str] = {
     "global_index_by_key": "SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx FROM conversations",
     "sliding_windows": f"WITH {WINDOWS} SELECT window_start, input_ids, labels FROM windows",
     "sliding_windows_every_token": f"WITH {STREAM} SELECT pos AS window_start, input_sum, first_input, last_label FROM (SELECT pos, token_id AS first_input, (sum(token_id) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING))::BIGINT AS input_sum, lead(token_id, 16) OVER (ORDER BY pos) AS last_label FROM stream) WHERE last_label IS NOT NULL",
+    # Blocks of 1,024 positions with the 128 that follow, cut into every window that begins in them.
+    "sliding_windows_stride_1": f"WITH {STREAM}, placed AS (SELECT pos // 1024 AS block, pos, token_id FROM stream UNION ALL SELECT pos // 1024 - 1, pos, token_id FROM stream WHERE pos >= 1024 AND pos % 1024 < 128), blocks AS (SELECT block, list(token_id::VARCHAR ORDER BY pos) AS ids FROM placed GROUP BY block), cut AS (SELECT block * 1024 + i - 1 AS window_start, md5(array_to_string(ids[i:i + 127], ' ')) AS inputs, md5(array_to_string(ids[i + 1:i + 128], ' ')) AS labels FROM (SELECT block, ids, unnest(range(1, least(len(ids) - 128, 1024) + 1)) AS i FROM blocks)) SELECT window_start // 4096 AS part, count(*) AS windows, md5(string_agg(inputs, '' ORDER BY window_start)) AS inputs_md5, md5(string_agg(labels, '' ORDER BY window_start)) AS labels_md5 FROM cut GROUP BY window_start // 4096",
     "next_token_labels": f"WITH {ENCODED} SELECT doc_id, {_joined('list_concat(input_ids[2:], [3])')} AS labels FROM encoded",
     "moving_average": f"WITH {LOG} SELECT name, round(avg(value), 6) AS moving_average FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ts DESC, event_id DESC) AS n FROM log) WHERE n <= 100 GROUP BY name",
     "moving_average_series": f"WITH {LOG} SELECT name, event_id, round(avg(value) OVER (PARTITION BY name ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 9) AS moving_average FROM log",

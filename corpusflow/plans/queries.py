@@ -521,6 +521,20 @@ def sliding_windows_every_token(spark, sf):
     )
 
 
+@query
+def sliding_windows_stride_1(spark, sf):
+    """Stride 1 at the training length: digests of the arrays of 4,096 windows each."""
+    cut = windows.sliding_windows(byte_stream(spark, sf), LENGTH)
+    digests = cut.select("window_start", *[F.md5(text_of(c).cast("binary")).alias(c) for c in ("input_ids", "labels")])
+
+    def joined(column: str) -> Column:
+        ordered = F.array_sort(F.collect_list(F.struct("window_start", column)))
+        return F.md5(F.array_join(F.transform(ordered, lambda w: w[column]), "").cast("binary"))
+
+    grouped = digests.groupBy(F.floor(F.col("window_start") / 4096).alias("part"))
+    return grouped.agg(F.count("*").alias("windows"), joined("input_ids").alias("inputs_md5"), joined("labels").alias("labels_md5"))
+
+
 @query
 def next_token_labels(spark, sf):
     inputs = byte_encoded(spark, sf).select("doc_id", add_special_tokens(F.col("ids")).alias("input_ids"))
