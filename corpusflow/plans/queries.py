@@ -23,7 +23,7 @@ from corpusflow.functions.permutation import permuted
 from corpusflow.operators import bpe, encode, evaluation, examples, runs, samples, vocabulary, windows
 from corpusflow.operators.ordering import global_index
 from corpusflow.plans.corpus import create_dataset_splits, make_training_batches
-from corpusflow.scratch import load_table, scratch_path
+from corpusflow.scratch import load_table, materialize, scratch_path
 from corpusflow.sources import readers, run_catalog, tokenizer_files, writers
 from corpusflow.streaming import runs as stream_runs
 
@@ -604,7 +604,9 @@ def nucleus_filter(spark, sf):
 
 @query
 def document_token_offsets(spark, sf):
-    return byte_stream(spark, sf).select("doc_id", "n_tokens", "start_pos")
+    encoded = byte_encoded(spark, sf).select("doc_id", add_special_tokens(F.col("ids")).alias("ids"))
+    # Ordering reads its input twice, so the ids are written first.
+    return windows.document_token_offsets(materialize(encoded, "encoded"), DOC).select("doc_id", "n_tokens", "start_pos")
 
 
 # Sorts, limits, top-k ---------------------------------------------------------
