@@ -22,6 +22,8 @@ from corpusflow.scratch import materialize
 PART = "_part"
 _LOCAL = "_local"
 _LOCAL_WEIGHT = "_local_weight"
+SORTED_KEYS = 50_000  # as few keys as these are sorted in one task
+SAMPLED_KEYS = 10_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -104,7 +106,16 @@ def global_index(df: DataFrame, keys: Sequence[str], name: str = "idx") -> DataF
 
 def not_after(keys: Sequence[str], values: Sequence[object]) -> Column:
     """`keys <= values` in tuple order, NULL first as Spark sorts it, written so that it reaches the scan as a filter."""
-    condition = _before(keys[-1], values[-1]) | F.col(keys[-1]).eqNullSafe(F.lit(values[-1]))
+    return _up_to(keys, values, F.col(keys[-1]).eqNullSafe(F.lit(values[-1])))
+
+
+def _earlier(keys: Sequence[str], values: Sequence[object]) -> Column:
+    """`keys < values` in the same order."""
+    return _up_to(keys, values, F.lit(False))
+
+
+def _up_to(keys: Sequence[str], values: Sequence[object], tie: Column) -> Column:
+    condition = _before(keys[-1], values[-1]) | tie
     for key, value in reversed(list(zip(keys[:-1], values[:-1]))):
         condition = _before(key, value) | (F.col(key).eqNullSafe(F.lit(value)) & condition)
     return condition
@@ -114,37 +125,66 @@ def _before(key: str, value: object) -> Column:
     return F.lit(False) if value is None else F.col(key).isNull() | (F.col(key) < F.lit(value))
 
 
+def nth_key(df: DataFrame, keys: Sequence[str], n: int, rows: int | None = None) -> tuple | None:
+    """The key of the `n`-th row (from 1) in key order; None if there are fewer rows. `rows` is their number if known.
+
+    A bounded sample of the keys left gives two pivots near the place wanted, exact
+    counts tell on which side of them it lies, and only the keys between them stay.
+    Each pass keeps about four by the root of the sample of them, until few enough
+    are left to be sorted. Keys are read, never written or range partitioned, and
+    the sample decides how many passes it takes, not what is found.
+    """
+    left = df.select(*keys)
+    rows = left.count() if rows is None else rows
+    if n > rows:
+        return None
+    while rows > SORTED_KEYS:
+        sample = left.sample(min(1.0, SAMPLED_KEYS / rows)).limit(2 * SAMPLED_KEYS).orderBy(*keys).collect()
+        if not sample:
+            continue
+        place, spread = n / rows * len(sample), 2 * len(sample) ** 0.5
+        low = tuple(sample[min(max(int(place - spread), 0), len(sample) - 1)])
+        high = tuple(sample[min(int(place + spread), len(sample) - 1)])
+        sides = [side(keys, pivot) for pivot in (low, high) for side in (_earlier, not_after)]
+        below_low, to_low, below_high, to_high = left.agg(*[F.count_if(s) for s in sides]).first()
+        if n <= below_low:
+            left, rows = left.filter(sides[0]), below_low
+        elif n <= to_low:
+            return low
+        elif n <= below_high:
+            left, rows, n = left.filter(~sides[1] & sides[2]), below_high - to_low, n - to_low
+        elif n <= to_high:
+            return high
+        else:
+            left, rows, n = left.filter(~sides[3]), rows - to_high, n - to_high
+    return tuple(left.orderBy(*keys).offset(n - 1).first())
+
+
 def head_rows(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
     """The first `n` rows in key order; `None` keeps all.
 
-    Only the keys are ordered. The rows themselves are then taken by comparing
-    with the n-th key, which is a pushed-down filter and not a shuffle.
+    The rows are taken by comparing with the n-th key, which is a pushed-down
+    filter and not a shuffle.
     """
     if n is None:
         return df
     if n <= 0:
         return df.limit(0)
-    last = ordered_layout(df.select(*keys), keys).filter(F.col("position") == n - 1).first()
-    return df if last is None else df.filter(not_after(keys, [last[k] for k in keys]))
+    last = nth_key(df, keys, n)
+    return df if last is None else df.filter(not_after(keys, last))
 
 
 def head_per_group(df: DataFrame, group: str, keys: Sequence[str], sizes: dict[str, int]) -> DataFrame:
     """The first `sizes[g]` rows, in key order, of each group named in `sizes`."""
     named = df.filter(F.col(group).isin(*sizes))
-    order = ordered_layout(named.select(group, *keys), [group, *keys])
-    starts = order.groupBy(group).agg(F.min("position").alias("_first"), F.count("*").alias("_rows"))
-    wanted = F.lit(None).cast("bigint")
-    for name, size in sizes.items():
-        wanted = F.when(F.col(group) == name, F.least(F.lit(size), F.col("_rows"))).otherwise(wanted)
-    last = (
-        order.join(F.broadcast(starts), group)  # one row per name in `sizes`
-        .filter(F.col("position") == F.col("_first") + wanted - 1)
-        .select(group, *keys)
-        .collect()
-    )
+    found = {r[group]: r["count"] for r in named.groupBy(group).count().collect()}  # one row per name in `sizes`
     keep = F.lit(False)
-    for row in last:
-        keep = keep | ((F.col(group) == row[group]) & not_after(keys, [row[k] for k in keys]))
+    for name, size in sizes.items():
+        here = F.col(group) == name
+        if found.get(name, 0) <= size:
+            keep = keep | here
+        elif size > 0:
+            keep = keep | (here & not_after(keys, nth_key(df.filter(here), keys, size, found[name])))
     return df.filter(keep)
 
 

@@ -223,6 +223,7 @@ ORACLE: dict[str, str] = {
     "load_corpus": "SELECT 'train' AS split, text FROM documents UNION ALL SELECT 'validation', text FROM conversations",
     "jsonl_round_trip": "SELECT text FROM documents",
     "jsonl_lenient_round_trip": "SELECT text FROM documents WHERE text <> ''",
+    "resolve_text_column": "SELECT CASE doc_id % 4 WHEN 1 THEN 'story' WHEN 3 THEN 'body' ELSE 'text' END AS field, text FROM documents",
     "paragraph_text_round_trip": f"WITH {CLEANED} SELECT text FROM cleaned WHERE text <> ''",
     "read_prompts": f"WITH {CLEANED_CONVERSATIONS} SELECT text AS prompt FROM conv WHERE text <> ''",
     "small_bundle": f"WITH {ALL_SAMPLES} SELECT split, text FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY sample_no) AS n FROM splits) WHERE n <= CASE split WHEN 'train' THEN 1000 ELSE 100 END",
@@ -304,6 +305,7 @@ ORACLE: dict[str, str] = {
     "top_n_indices": f"WITH {SCORED} SELECT vec_id, string_agg(idx::VARCHAR, ' ' ORDER BY place) AS top_indices FROM ranked WHERE place <= 5 GROUP BY vec_id",
     "argmax": f"WITH {SCORED} SELECT vec_id, idx::INTEGER AS predicted FROM ranked WHERE place = 1",
     "resolve_checkpoint_best": f"WITH {CATALOG} SELECT run_id, arg_min(path, (val_loss, step)) AS path FROM catalog GROUP BY run_id",
+    "resolve_from_catalog": f"WITH {CATALOG} SELECT run_id, arg_max(path, step) AS path FROM catalog GROUP BY run_id",
     "resolve_checkpoint_latest": f"WITH {CATALOG} SELECT run_id, arg_max(path, step) AS path FROM catalog GROUP BY run_id",
     # set operations
     "union_files": "SELECT 0 AS file_no, row_number() OVER (ORDER BY doc_id) - 1 AS line_no, text FROM documents UNION ALL SELECT 1, row_number() OVER (ORDER BY item_id) - 1, text FROM benchmark",
@@ -330,6 +332,12 @@ ORACLE: dict[str, str] = {
     "training_batches": f"WITH {WINDOWS}, placed AS (SELECT *, row_number() OVER (ORDER BY md5('5|0|' || window_start), window_start) - 1 AS n, count(*) OVER () AS total FROM windows) SELECT n // 16 AS batch_id, (n % 16)::INTEGER AS slot, window_start, input_ids, labels FROM placed WHERE n // 16 < total // 16",
     "validation_batches": f"WITH {WINDOWS}, placed AS (SELECT *, row_number() OVER (ORDER BY window_start) - 1 AS n FROM windows) SELECT n // 16 AS batch_id, (n % 16)::INTEGER AS slot, window_start, input_ids FROM placed",
     # streams
+    "stream_run_catalog": f"WITH {CATALOG}, kept AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS r FROM catalog), "
+    "ends AS (SELECT run_id, arg_min(path, (val_loss, step)) FILTER (val_loss IS NOT NULL) AS best_checkpoint, min(val_loss) AS best_metric, "
+    "arg_max(path, step) AS last_checkpoint FROM catalog GROUP BY run_id) SELECT run_id::VARCHAR AS run_id, (SELECT string_agg(path, ' ' ORDER BY step) FROM kept "
+    "WHERE kept.run_id = ends.run_id AND r <= 5) AS checkpoints, best_checkpoint, best_metric, last_checkpoint, best_checkpoint AS path FROM ends",
+    "stream_evicted_checkpoints": f"WITH {CATALOG} SELECT run_id::VARCHAR AS run_id, step, path FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS r FROM catalog) WHERE r > 5",
     "stream_metric_tracker": f"WITH {LOG} SELECT name, round(avg(value), 6) AS average, arg_max(value, (ts, event_id)) AS latest, count(*) AS updates FROM log GROUP BY name",
     "stream_early_stopping_late": f"WITH {_stops_with_delta('0.25', 5, 'ts, step')} SELECT run_id, count(*) AS checks, arg_max(counter, n) AS counter, -arg_max(best, n) AS best_loss, bool_or(stop) AS stopped, coalesce(min_by(step, n) FILTER (stop), -1) AS stop_step FROM fold GROUP BY run_id",
     "stream_early_stopping": f"WITH {LOSSES}, {_stops('step')} SELECT run_id, count(*) AS checks, arg_max(counter, step) AS counter, min(value) AS best_loss, bool_or(early_stop) AS stopped, coalesce(min(CASE WHEN early_stop THEN step END), -1) AS stop_step FROM stops GROUP BY run_id",

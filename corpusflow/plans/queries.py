@@ -25,6 +25,7 @@ from corpusflow.operators.ordering import global_index
 from corpusflow.plans.corpus import create_dataset_splits, make_training_batches
 from corpusflow.scratch import load_table, materialize, scratch_path
 from corpusflow.sources import readers, run_catalog, tokenizer_files, writers
+from corpusflow.streaming import catalog as stream_catalog
 from corpusflow.streaming import runs as stream_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +161,22 @@ def jsonl_lenient_round_trip(spark, sf):
     return readers.read_jsonl_lenient(spark, path)
 
 
+@query
+def resolve_text_column(spark, sf):
+    """Lines of four kinds: with a text, a story, both, or neither."""
+    path = scratch_path(spark, "mixed")
+    kinds = (("source", "text"), ("lang", "story"), ("story", "source", "text"), ("body", "source"))
+    table = load_table(spark, f"{sf}/documents.parquet").select("doc_id", "source", "lang", "text")
+    named = {"story": "text", "body": "text"}
+    both = F.when(F.col("doc_id") % 4 == 2, F.concat(F.lit("not "), F.col("lang"))).otherwise(F.col("text"))
+    columns = [
+        F.struct(*[(both if n == "story" else F.col(named.get(n, n))).alias(n) for n in kind]) for kind in kinds
+    ]
+    line = F.coalesce(*[F.when(F.col("doc_id") % 4 == k, F.to_json(c, {"ignoreNullFields": "false"})) for k, c in enumerate(columns)])
+    table.select(line.alias("value")).write.text(path)
+    return readers.read_mixed_jsonl(spark, path)
+
+
 @query
 def paragraph_text_round_trip(spark, sf):
     path = scratch_path(spark, "paragraphs")
@@ -877,6 +894,48 @@ def _last_checks(spark: SparkSession, arrivals: list[DataFrame], delay: str, pat
     return rows.groupBy("run_id").agg(F.max_by(F.struct(*columns), "checks").alias("_last")).select("run_id", "_last.*")
 
 
+def _streamed_catalog(spark: SparkSession, sf: str) -> str:
+    """Checkpoints reported in four parts, newer ones not always later, with the last micro-batch played twice."""
+    reports, folder = scratch_path(spark, "reports"), scratch_path(spark, "catalog")
+    catalog = checkpoints(spark, sf)
+    part = F.pmod(F.xxhash64("step"), F.lit(4))
+    upsert, played = stream_catalog.upsert_checkpoints(folder), []
+
+    def take(batch: DataFrame, number: int) -> None:
+        played.append(number)
+        upsert(batch, number)
+
+    state = scratch_path(spark, "state")
+    for k in range(4):
+        catalog.filter(part == k).write.mode("append").parquet(reports)
+        stream = spark.readStream.schema(catalog.schema).parquet(reports)
+        run = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+        run.foreachBatch(take).start().awaitTermination()
+    upsert(catalog.filter(part == 3), played[-1])
+    return folder
+
+
+@query
+def stream_run_catalog(spark, sf):
+    read = run_catalog.resolve_from_catalog(stream_catalog.read_catalog(spark, _streamed_catalog(spark, sf)), load_best=True)
+    listed = F.array_join("checkpoints", " ").alias("checkpoints")
+    return read.select("run_id", listed, "best_checkpoint", "best_metric", "last_checkpoint", "path")
+
+
+@query
+def resolve_from_catalog(spark, sf):
+    """The metadata files that `write_run_catalog` leaves, by their latest checkpoint."""
+    path = scratch_path(spark, "catalog")
+    writers.write_run_catalog(checkpoints(spark, sf), path)
+    resolved = run_catalog.resolve_from_catalog(run_catalog.read_run_catalog(spark, path), load_latest=True)
+    return resolved.select("run_id", "path")
+
+
+@query
+def stream_evicted_checkpoints(spark, sf):
+    return stream_catalog.read_evicted(spark, _streamed_catalog(spark, sf))
+
+
 @query
 def stream_early_stopping(spark, sf):
     losses = _event_stream(spark, sf).select(F.col("user_id").alias("run_id"), F.col("event_id").alias("step"), "value")

@@ -36,6 +36,40 @@ def read_jsonl_lenient(spark: SparkSession, *paths: str) -> DataFrame:
     return rows.filter(F.coalesce("text", F.lit("")) != "")
 
 
+def read_mixed_jsonl(spark: SparkSession, *paths: str) -> DataFrame:
+    """`(field, text)` of JSON objects whose fields differ from line to line.
+
+    Each line gives its `text`, else its `story`, else the field that comes first in
+    the first line (in order of file and place) if that line has neither, else its own
+    first field. A field that is present with a null gives a null text, other values
+    their JSON text; an object without fields gives null for both. A line that is
+    no object, or names a field twice, fails the job.
+    """
+    lines = _filled_lines(spark, *paths)
+    names, fields = F.json_object_keys("value"), F.parse_json("value").cast("map<string,variant>")
+    opening = _opening_names(spark, lines.inputFiles())
+    common = F.lit(None if {"text", "story"} & set(opening) else next(iter(opening), None)).cast("string")
+    rows = lines.select(names.alias("names"), fields.alias("fields"))
+    present = [F.when(F.array_contains("names", n), n) for n in (F.lit("text"), F.lit("story"), common)]
+    chosen = rows.withColumn("field", F.coalesce(*present, F.try_element_at("names", F.lit(1))))
+    value = F.try_element_at("fields", F.col("field"))
+    text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+    return chosen.select("field", F.when(~F.is_variant_null(value), text).alias("text"))
+
+
+def _filled_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    return spark.read.text(list(paths)).filter(F.trim("value") != "")
+
+
+def _opening_names(spark: SparkSession, files: list[str]) -> list[str]:
+    """Fields of the first line of the first file that has one."""
+    for file in sorted(files):
+        opening = _filled_lines(spark, file).filter("_metadata.file_block_start = 0").select(F.json_object_keys("value")).first()
+        if opening is not None:
+            return opening[0] or []
+    return []
+
+
 def read_paragraph_text(spark: SparkSession, *paths: str) -> DataFrame:
     """Samples separated by a blank line, stripped, none of them empty."""
     rows = spark.read.option("lineSep", "\n\n").text(list(paths))
