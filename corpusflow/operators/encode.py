@@ -181,10 +181,13 @@ def decode_corpus(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", skip_sp
     return df.select(*others, text_of(F.col(ids), list(tokenizer.tokens), skip).alias("text"))
 
 
-def roundtrip_audit(df: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """Rows whose text survives encoding and decoding, case and spaces aside: `(matches, n)`."""
+def roundtrip_audit(df: DataFrame, tokenizer: Tokenizer, max_length: int | None = None) -> DataFrame:
+    """Rows whose text survives encoding, truncation and decoding, case and spaces aside: `(matches, n)`."""
     kept = df.select("text", F.col("text").alias("original"))
-    decoded = decode_corpus(encode_ids(kept, tokenizer), tokenizer)
+    encoded = encode_ids(kept, tokenizer)
+    if max_length is not None:
+        encoded = encoded.withColumn("ids", truncate_ids(F.col("ids"), max_length))
+    decoded = decode_corpus(encoded, tokenizer)
     same = _bare(F.col("text")) == _bare(F.col("original"))
     return decoded.groupBy(same.alias("matches")).agg(F.count("*").alias("n"))
 

@@ -31,6 +31,21 @@ def _byte_id(code: str) -> str:
     )
 
 
+# The byte code of the id `i` of the alphabet, the other way round.
+_BYTE_OF = (
+    "CASE WHEN i BETWEEN 4 AND 97 THEN i + 29 WHEN i BETWEEN 98 AND 109 THEN i + 63 WHEN i BETWEEN 110 AND 191 THEN i + 64 "
+    "WHEN i BETWEEN 192 AND 224 THEN i - 192 WHEN i = 259 THEN 173 ELSE i - 98 END"
+)
+
+
+def _bare(text: str) -> str:
+    return f"replace(lower({text}), ' ', '')"
+
+
+def _aligned(labels: str) -> str:
+    return f"coalesce(bool_and(string_split(input_ids, ' ')[2:] = string_split({labels}, ' ')[:127]), true)"
+
+
 def _byte_ids(text: str) -> str:
     return (
         f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "
@@ -223,6 +238,8 @@ ORACLE: dict[str, str] = {
     "load_corpus": "SELECT 'train' AS split, text FROM documents UNION ALL SELECT 'validation', text FROM conversations",
     "jsonl_round_trip": "SELECT text FROM documents",
     "jsonl_lenient_round_trip": "SELECT text FROM documents WHERE text <> ''",
+    "jsonl_lenient_without_text": "SELECT text FROM conversations WHERE role = 'assistant' AND text <> ''",
+    "read_training_files": f"WITH {CLEANED} SELECT text FROM cleaned WHERE text <> ''",
     "resolve_text_column": "SELECT CASE doc_id % 4 WHEN 1 THEN 'story' WHEN 3 THEN 'body' ELSE 'text' END AS field, text FROM documents",
     "paragraph_text_round_trip": f"WITH {CLEANED} SELECT text FROM cleaned WHERE text <> ''",
     "read_prompts": f"WITH {CLEANED_CONVERSATIONS} SELECT text AS prompt FROM conv WHERE text <> ''",
@@ -267,9 +284,11 @@ ORACLE: dict[str, str] = {
     "perplexity": f"WITH {SCORED} SELECT batch_id, round(avg(nll), 6) AS loss, round(exp(avg(nll)), 4) AS perplexity FROM losses GROUP BY batch_id",
     "throughput_summary": f"WITH {STEPS} SELECT run_id, sum(tokens)::BIGINT AS total_tokens, round(sum(seconds), 4) AS total_time, round(sum(tokens) / sum(seconds), 4) AS tokens_per_sec, max(mem_mb) AS max_memory_mb FROM steps GROUP BY run_id",
     "step_throughput": f"WITH {STEPS} SELECT run_id, tokens, round(tokens / seconds, 4) AS tokens_per_sec FROM steps",
-    "epoch_estimate": f"WITH {STEPS}, loader AS (SELECT 16 * 128 * (count(*) // 16) AS tokens FROM documents) SELECT run_id, any_value(loader.tokens)::BIGINT AS tokens_per_epoch, round(any_value(loader.tokens) / (sum(steps.tokens) / sum(seconds)), 4) AS seconds_per_epoch FROM steps, loader GROUP BY run_id",
+    "epoch_estimate": f"WITH {STEPS}, {ENCODED}, loader AS (SELECT 16 * 128 * (greatest((n - 129) // 128 + 1, 0) // 16) AS tokens FROM (SELECT sum(len(input_ids))::BIGINT AS n FROM encoded)) SELECT run_id, any_value(loader.tokens)::BIGINT AS tokens_per_epoch, round(any_value(loader.tokens) / (sum(steps.tokens) / sum(seconds)), 4) AS seconds_per_epoch FROM steps, loader GROUP BY run_id",
     "loader_length": "SELECT count(*) // 16 AS batches, 'train' AS loader FROM documents UNION ALL SELECT (count(*) + 15) // 16, 'validation' FROM documents",
-    "roundtrip_audit": "SELECT true AS matches, count(*) AS n FROM documents",
+    "roundtrip_audit": f"WITH {ENCODED}, decoded AS (SELECT text, decode(unhex(array_to_string(list_transform(ids, lambda i: "
+    f"printf('%02X', {_BYTE_OF})), ''))) AS back FROM encoded) SELECT {_bare('text')} = {_bare('back')} AS matches, count(*) AS n FROM decoded GROUP BY ALL",
+    "roundtrip_audit_truncated": "SELECT regexp_full_match(substr(hex(encode(text)), 129), '(20)*') AS matches, count(*) AS n FROM documents GROUP BY ALL",
     "generation_diversity": f"WITH {GENERATED} SELECT conv_id, turn, n_tokens, n_chars, round(diversity, 6) AS diversity FROM generated",
     "distribution_histogram": f"WITH {GENERATED}, {SCORED}, prompts AS (SELECT exp(avg(nll)) AS perplexity FROM losses GROUP BY prompt_id) {_histogram('diversity', 'generated', 'diversity', '0.05')} UNION ALL {_histogram('n_chars', 'generated', 'n_chars', '50')} UNION ALL {_histogram('perplexity', 'prompts', 'perplexity', '5')}",
     "length_vs_diversity": f"WITH {GENERATED} SELECT floor(n_tokens / 10)::BIGINT AS bucket, round(avg(diversity), 6) AS mean_diversity, count(*) AS n FROM generated GROUP BY 1",
@@ -297,6 +316,9 @@ ORACLE: dict[str, str] = {
     "nucleus_filter": f"WITH {_sampling('0.5', 40, '0.8')} SELECT vec_id, idx::INTEGER AS idx, round(p, 6) AS p FROM nucleus",
     "document_token_offsets": f"WITH {ENCODED} SELECT doc_id, len(input_ids) AS n_tokens, coalesce(sum(len(input_ids)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_pos FROM encoded",
     # sorts, limits, top-k
+    "appended_positions": f"WITH {ENCODED}, sized AS (SELECT doc_id, doc_id // 64 % 3 AS arrival, len(coalesce(ids, []))::BIGINT AS n_tokens FROM encoded) "
+    "SELECT doc_id, n_tokens, row_number() OVER ordered - 1 AS position, (sum(n_tokens) OVER ordered - n_tokens)::BIGINT AS start_pos "
+    "FROM sized WINDOW ordered AS (ORDER BY arrival, doc_id ROWS UNBOUNDED PRECEDING)",
     "head_per_split": f"WITH {WITH_VALIDATION} SELECT split, sample_no, text FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY sample_no) AS n FROM splits) WHERE n <= CASE split WHEN 'train' THEN 50 ELSE 40 END",
     "shuffle_examples": "SELECT doc_id, row_number() OVER (ORDER BY md5('7|1|' || doc_id), doc_id) - 1 AS place FROM documents",
     "shuffle_permuted": f"SELECT doc_id, {_permuted('idx', 'n', 7, 1)} AS place FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS n FROM documents)",
@@ -314,6 +336,7 @@ ORACLE: dict[str, str] = {
     # encoding and training examples
     "encode_corpus": f"WITH {ENCODED} SELECT doc_id, {_joined('input_ids')} AS input_ids, array_to_string(list_transform(input_ids, lambda x: '0'), ' ') AS token_type_ids, array_to_string(list_transform(input_ids, lambda x: '1'), ' ') AS attention_mask FROM encoded",
     "encode_corpus_merged": f"WITH {TRAINED}, spelled AS (SELECT word, replace(trim(syms, '|'), '||', ' ') AS ids FROM trained WHERE step = 40 UNION ALL SELECT word, ids[1]::VARCHAR FROM coded WHERE len(ids) = 1), said AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS n FROM (SELECT doc_id, regexp_extract_all(text, '{_WORDS}') AS w FROM documents)) SELECT doc_id, '0 ' || string_agg(ids, ' ' ORDER BY n) || ' 1' AS input_ids FROM said JOIN spelled USING (word) GROUP BY doc_id",
+    "encode_with_own_tokenizer": f"SELECT doc_id, {_joined('''list_transform(string_split(coalesce(text, ''), ' '), lambda w: length(w))''')} AS ids FROM documents",
     "encode_batches": f"WITH {ENCODED}, sized AS (SELECT doc_id, input_ids, len(input_ids) AS n, max(len(input_ids)) OVER (PARTITION BY doc_id // 16) AS longest FROM encoded) SELECT doc_id, array_to_string(list_concat(input_ids::VARCHAR[], list_transform(range(n, longest), lambda i: '3')), ' ') AS input_ids, array_to_string(list_transform(range(0, longest), lambda i: '0'), ' ') AS token_type_ids, array_to_string(list_transform(range(0, longest), lambda i: CASE WHEN i < n THEN '1' ELSE '0' END), ' ') AS attention_mask FROM sized",
     "add_special": f"WITH {CLEANED} SELECT doc_id, {_joined('list_concat([0], ' + _byte_ids('text') + ', [1])')} AS ids FROM cleaned",
     "truncate": f"WITH {CLEANED} SELECT doc_id, {_joined('list_concat([0], ' + _byte_ids('text') + ', [1])[1:64]')} AS ids FROM cleaned",
@@ -327,11 +350,13 @@ ORACLE: dict[str, str] = {
     "masked_token_count": f"WITH {MASKED} SELECT count(*) AS masked_tokens FROM changed WHERE id = 2",
     "example_audit": f"WITH {MASKED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE list_contains(masked.input_ids, 2)) AS with_mask, count(*) FILTER (WHERE len(masked.input_ids) = longest) AS of_length, count(*) FILTER (WHERE len(masked.input_ids) = len(fitted.input_ids)) AS labels_fit FROM masked JOIN fitted USING (doc_id)",
     "custom_collation": f"WITH {WINDOWS} SELECT window_start, array_to_string(list_transform(range(128), lambda i: '1'), ' ') AS attention_mask, split_part(labels, ' ', 1)::INTEGER AS first_label FROM windows",
-    "alignment_check": "SELECT true AS aligned",
+    "alignment_check": f"WITH {WINDOWS} SELECT {_aligned('labels')} AS aligned FROM windows",
+    "alignment_check_unshifted": f"WITH {WINDOWS} SELECT {_aligned('input_ids')} AS aligned FROM windows",
     "sample_next_token": f"WITH {_sampling('0.7', 40, '0.9')}, cumulated AS (SELECT *, sum(p) OVER (PARTITION BY vec_id ORDER BY place) AS upto, {_uniform('''md5('11|' || vec_id)''')} AS u FROM nucleus) SELECT vec_id, coalesce(arg_min(CASE WHEN upto > u THEN idx END, CASE WHEN upto > u THEN place END), arg_max(idx, place))::INTEGER AS next_token FROM cumulated GROUP BY vec_id",
     "training_batches": f"WITH {WINDOWS}, placed AS (SELECT *, row_number() OVER (ORDER BY md5('5|0|' || window_start), window_start) - 1 AS n, count(*) OVER () AS total FROM windows) SELECT n // 16 AS batch_id, (n % 16)::INTEGER AS slot, window_start, input_ids, labels FROM placed WHERE n // 16 < total // 16",
     "validation_batches": f"WITH {WINDOWS}, placed AS (SELECT *, row_number() OVER (ORDER BY window_start) - 1 AS n FROM windows) SELECT n // 16 AS batch_id, (n % 16)::INTEGER AS slot, window_start, input_ids FROM placed",
     # streams
+    "stream_metric_tracker_restarted": f"WITH {LOG} SELECT name, round(avg(value), 6) AS average, arg_max(value, (ts, event_id)) AS latest, count(*) AS updates FROM log GROUP BY name",
     "stream_run_catalog": f"WITH {CATALOG}, kept AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS r FROM catalog), "
     "ends AS (SELECT run_id, arg_min(path, (val_loss, step)) FILTER (val_loss IS NOT NULL) AS best_checkpoint, min(val_loss) AS best_metric, "
     "arg_max(path, step) AS last_checkpoint FROM catalog GROUP BY run_id) SELECT run_id::VARCHAR AS run_id, (SELECT string_agg(path, ' ' ORDER BY step) FROM kept "

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from corpusflow.functions.sequences import (
 )
 from corpusflow.functions.logits import IGNORE_INDEX, valid_label
 from corpusflow.functions.permutation import permuted
-from corpusflow.operators import bpe, encode, evaluation, examples, runs, samples, vocabulary, windows
+from corpusflow.operators import bpe, encode, evaluation, examples, runs, samples, segments, vocabulary, windows
 from corpusflow.operators.ordering import global_index
 from corpusflow.plans.corpus import create_dataset_splits, make_training_batches
 from corpusflow.scratch import load_table, materialize, scratch_path
@@ -161,6 +162,24 @@ def jsonl_lenient_round_trip(spark, sf):
     return readers.read_jsonl_lenient(spark, path)
 
 
+@query
+def jsonl_lenient_without_text(spark, sf):
+    """What an assistant said is a text; other lines have a prompt instead."""
+    path = scratch_path(spark, "jsonl")
+    said = F.col("role") == "assistant"
+    rows = conversations(spark, sf)
+    rows.select(F.when(said, F.col("text")).alias("text"), F.when(~said, F.col("text")).alias("prompt")).write.json(path)
+    return readers.read_jsonl_lenient(spark, path)
+
+
+@query
+def read_training_files(spark, sf):
+    """Text files below a folder, found by their name."""
+    path = scratch_path(spark, "training")
+    writers.write_splits_text(cleaned(spark, sf).withColumn("split", F.lit("train")), f"{path}/text")
+    return readers.read_training_files(spark, path)
+
+
 @query
 def resolve_text_column(spark, sf):
     """Lines of four kinds: with a text, a story, both, or neither."""
@@ -447,8 +466,8 @@ def step_throughput(spark, sf):
 @query
 def epoch_estimate(spark, sf):
     summary = runs.throughput_summary(throughput_steps(spark, sf))
-    loader = windows.loader_length(documents(spark, sf), BATCH, drop_last=True)
-    estimated = runs.epoch_estimate(summary, BATCH, LENGTH, loader.scalar())
+    batches = windows.window_count(byte_stream(spark, sf), LENGTH, LENGTH) // BATCH
+    estimated = runs.epoch_estimate(summary, BATCH, LENGTH, batches)
     return estimated.select("run_id", "tokens_per_epoch", rounded("seconds_per_epoch", 4).alias("seconds_per_epoch"))
 
 
@@ -464,6 +483,12 @@ def roundtrip_audit(spark, sf):
     return encode.roundtrip_audit(documents(spark, sf), small_tokenizer(spark, sf))
 
 
+@query
+def roundtrip_audit_truncated(spark, sf):
+    """Texts of more than `MAX_LENGTH` bytes do not come back from their first ids."""
+    return encode.roundtrip_audit(documents(spark, sf), bpe.Tokenizer.base(), MAX_LENGTH)
+
+
 @query
 def generation_diversity(spark, sf):
     return generated(spark, sf).select("conv_id", "turn", "n_tokens", "n_chars", rounded("diversity").alias("diversity"))
@@ -629,6 +654,17 @@ def document_token_offsets(spark, sf):
 # Sorts, limits, top-k ---------------------------------------------------------
 
 
+@query
+def appended_positions(spark, sf):
+    """Documents that arrive in three parts, the last one twice, with their place in the stream of tokens."""
+    path = scratch_path(spark, "corpus")
+    sized = byte_encoded(spark, sf).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"))
+    arrival = F.floor(F.col("doc_id") / 64) % 3
+    for number in (0, 1, 2, 2):
+        segments.append_rows(sized.filter(arrival == number), path, DOC, "n_tokens", number)
+    return segments.read_rows(spark, path, start="start_pos")
+
+
 @query
 def head_per_split(spark, sf):
     split = create_dataset_splits(documents(spark, sf), DOC, conversations(spark, sf), CONV)
@@ -708,6 +744,16 @@ def encode_corpus_merged(spark, sf):
     return encoded.select("doc_id", text_of("input_ids").alias("input_ids"))
 
 
+@query
+def encode_with_own_tokenizer(spark, sf):
+    """A caller's batch function: the lengths of what stands between blanks."""
+    def lengths(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: [len(word) for word in text.split(" ")])
+
+    encoded = encode.encode_with(documents(spark, sf), lengths)
+    return encoded.select("doc_id", text_of("ids").alias("ids"))
+
+
 @query
 def encode_batches(spark, sf):
     encoded = encode.encode_batches(document_batches(spark, sf), bpe.Tokenizer.base(), padding=True)
@@ -811,6 +857,13 @@ def alignment_check(spark, sf):
     return examples.alignment_check(windows.sliding_windows(byte_stream(spark, sf), LENGTH, LENGTH))
 
 
+@query
+def alignment_check_unshifted(spark, sf):
+    """Inputs given as their own labels are not aligned."""
+    cut = windows.sliding_windows(byte_stream(spark, sf), LENGTH, LENGTH)
+    return examples.alignment_check(cut.withColumn("labels", F.col("input_ids")))
+
+
 @query
 def sample_next_token(spark, sf):
     drawn = evaluation.sample_next_token(scored(spark, sf), F.col("vec_id"), 0.7, 40, 0.9, seed=11)
@@ -879,6 +932,23 @@ def stream_metric_tracker(spark, sf):
     return final.select("name", rounded("average").alias("average"), "latest", "updates")
 
 
+@query
+def stream_metric_tracker_restarted(spark, sf):
+    """Updates that arrive in four parts, out of order, with a restart before each part."""
+    arriving, reports, state = (scratch_path(spark, n) for n in ("updates", "reports", "state"))
+    log = metric_log(spark, sf)
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for k in range(4):
+        log.filter(part == k).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(log.schema).parquet(arriving)
+        tracked = stream_runs.stream_metric_tracker(stream, UPDATE)
+        run = tracked.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True)
+        run.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(reports)).start().awaitTermination()
+    last = F.max_by(F.struct("average", "latest", "updates"), "updates").alias("_last")
+    final = spark.read.parquet(reports).groupBy("name").agg(last).select("name", "_last.*")
+    return final.select("name", rounded("average").alias("average"), "latest", "updates")
+
+
 def _last_checks(spark: SparkSession, arrivals: list[DataFrame], delay: str, patience: int, min_delta: float) -> DataFrame:
     """Append one arrival after the other and let a query, restarted from its checkpoint each time, take it."""
     losses, reports, state = (scratch_path(spark, n) for n in ("losses", "reports", "state"))
