@@ -96,7 +96,7 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "warc")
-    warc.write_warc(table(spark, sf, "pages"), path)
+    warc.write_warc(table(spark, sf, "pages"), path, compression="gzip")
     return warc.archived_pages(spark, path)
 
 
