@@ -25,6 +25,7 @@ STOP_WORDS = (
     "el los las que y del se un con por una para su no al lo como más o"
 ).split()
 BLANK = r"[\x20\x09-\x0D]"
+BLANKS = "\x20\x09\x0A\x0B\x0C\x0D"
 WINDOW = 3
 
 
@@ -48,7 +49,7 @@ RULES = (
 
 
 def words_of(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+\z", "")
+    trimmed = F.btrim(text, F.lit(BLANKS))  # a pattern for blanks at the end would begin anew at each blank of a run
     return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{BLANK}+", -1))
 
 

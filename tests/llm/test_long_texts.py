@@ -14,3 +14,11 @@ def test_a_clean_text_of_more_than_a_million_words_is_kept(spark):
     out = quality.verdict(F.col("found"))
     row = told.select(out["kept"].alias("kept"), out["failed_rules"].alias("failed")).first()
     assert row.kept and row.failed == []
+
+
+def test_long_runs_of_blanks_take_linear_time(spark):
+    # A pass that was quadratic in the run would take hours here.
+    texts = ["a" + " " * 1_000_000 + "b", " \t\n\x0b\f\r" * 100_000, "\r\n x\x0by\u00a0z \t", "", "\u2003a "]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    rows = df.select("i", quality.words_of(F.col("text")).alias("words")).orderBy("i").collect()
+    assert [r["words"] for r in rows] == [["a", "b"], [], ["x", "y\u00a0z"], [], ["\u2003a"]]
