@@ -56,9 +56,20 @@ class _Chunks(dict):
         return number
 
 
-# Letters below this are letters for the tokenizer's patterns and for Python alike, and join with no punctuation.
-_WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?()]*)")
-_PLAIN = re.compile("[a-z]+")
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in the vocabulary: visible Latin-1 ones themselves, others from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(others)) for b in range(256)]
+
+
+# Latin letters that are letters for the tokenizer's patterns and for Python alike, and stay single letters in lower
+# case; marks join with each other only. The apostrophe is left out, as it may begin a token of letters.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_MARKS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+_WORD_AND_MARKS = re.compile(f"(?m)^([{_LETTERS}]+)([{_MARKS}]*)$|^(.+)$")
+_BYTES = _byte_letters()
+_AS_BYTES = {ord(x): "".join(_BYTES[b] for b in x.encode()) for c in range(0xC0, 0x250) for x in chr(c).lower()}
 
 
 class _Encoder:
@@ -74,7 +85,7 @@ class _Encoder:
 
     def clear(self) -> None:
         self.numbers = _Chunks()
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {"": ()}
         self.flat = np.zeros(1 << 20, np.uint32)
         self.bounds = np.zeros(1 << 16, np.int64)
 
@@ -95,20 +106,16 @@ class _Encoder:
         return np.split(flat, ends[np.cumsum(sizes)][:-1]) if len(split) else []
 
     def _learn(self, chunks: list[bytes]) -> None:
-        """A chunk of letters and marks is the word, lower-cased, and then the marks; others are encoded as they are."""
-        cut: list[tuple[str, str]] = []
-        for chunk in chunks:
-            found = _WORD_AND_MARKS.fullmatch(text := chunk.decode())
-            word, marks = found.groups() if found else (text, "")
-            cut.append((word.lower() if found and word.isascii() else word, marks))
-        new = list({p for parts in cut for p in parts if p and p not in self.parts})
-        self.parts[""] = []
-        # Small ASCII letters pass the normalizer and the word split unchanged, so the model alone gives their ids.
-        plain = [p for p in new if _PLAIN.fullmatch(p)]
-        self.parts.update((p, [t.id for t in self.model.tokenize(p)]) for p in plain)
-        others = [p for p in new if p not in self.parts]
-        self.parts.update(zip(others, (e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False))))
-        found = [self.parts[word] + self.parts[marks] for word, marks in cut]
+        """A chunk of Latin letters and marks is the word, in lower case, and then the marks; others are encoded as they are."""
+        cut = [(word.lower(), rest or marks) for word, marks, rest in _WORD_AND_MARKS.findall(b"\n".join(chunks).decode())]
+        parts = self.parts
+        # Such words in lower case pass the normalizer and the word split whole, so the model alone gives their ids.
+        tokens = self.model.tokenize
+        for word in {word for word, _ in cut}.difference(parts):
+            parts[word] = tuple([t.id for t in tokens(word if word.isascii() else word.translate(_AS_BYTES))])
+        others = list({rest for _, rest in cut}.difference(parts))
+        parts.update(zip(others, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False))))
+        found = [parts[word] + parts[rest] for word, rest in cut]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         first = len(self.numbers) - len(chunks)
         at = self.bounds[first]

@@ -23,6 +23,18 @@ def test_tokens_are_those_of_the_tokenizer():
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_latin_letters_and_marks_are_tokenized_alike_one_by_one():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    letters = [chr(c) for c in range(0x21, 0x300)]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    texts = [*(x + m for x in letters for m in ("", "a", "e.", "\u0301")), *("ab" + a + b for a in marks for b in marks), *("É" + a + "s" for a in marks)]
+    encoder = packing._Encoder(tokenizer_path())
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_pieces_and_packing(spark):
     from tokenizers import Tokenizer
 
