@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.logits import let
 from corpusflow.llm.quality import words_of
-from corpusflow.llm.spans import as_text, find_spans, tagged
+from corpusflow.llm.spans import ahead_of, as_text, blocks_of, covered, cut_out, find_spans, tagged
 from corpusflow.scratch import materialize
 
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -43,6 +43,7 @@ LEAST_DIGITS = 5  # digits of an identifier that no fixed pattern knows
 LEAST_CONFIDENCE = 0.5
 LEAST_INSTANCES = 5
 BROADCAST_WORDS = 100_000
+INSTANCES = "array<struct<start:int,end:int,word:string,instance:bigint,seed:boolean>>"
 
 
 def digits(found: Column) -> Column:
@@ -87,9 +88,9 @@ def by_kind(spans: Column) -> Column:
     return turned
 
 
-def context_of(text: Column, start: Column) -> Column:
-    """The word before a place, lower-cased, digits as 9."""
-    before = F.substring(text, F.greatest(start - 59, F.lit(1)), F.least(start, F.lit(60)))
+def context_of(blocks: Column, start: Column) -> Column:
+    """The word before a place, lower-cased, digits as 9; of a long one, what lies in the 60 characters before the place."""
+    before = cut_out(blocks, F.greatest(start - 60, F.lit(0)), start)
     word = F.regexp_extract(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\z", 1)
     return F.regexp_replace(F.lower(word), "[0-9]", "9")
 
@@ -109,16 +110,20 @@ def _found(df: DataFrame, key: str) -> DataFrame:
     spans = scanned.select(key, "_t", *[F.size(lists[k]).cast("bigint").alias(f"n_{k}") for k in KINDS[:4]],
                            by_kind(F.concat(*lists.values())).alias("base"))
 
-    def instance(start: Column, end: Column, found: Column, seed: Column) -> Column:
-        return F.struct(start.alias("start"), end.alias("end"), context_of(F.col("_t"), start).alias("word"),
-                        F.xxhash64(F.lower(found)).alias("instance"), seed.alias("seed"))
+    def instance(blocks: Column, start: Column, end: Column, found: Column, seed: bool) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"), context_of(blocks, start).alias("word"),
+                        F.xxhash64(F.lower(found)).alias("instance"), F.lit(seed).alias("seed"))
 
-    seeds = F.transform("base", lambda s: instance(
-        s["start"], s["end"], F.substring(F.col("_t"), s["start"] + 1, s["end"] - s["start"]), F.lit(True)))
-    runs = find_spans(F.col("_t"), CANDIDATE, is_candidate)
-    free = F.filter(runs, lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    others = F.transform(free, lambda r: instance(r["start"], r["end"], r["found"], F.lit(False)))
-    return spans.select(key, *[f"n_{k}" for k in KINDS[:4]], "base", F.concat(seeds, others).alias("instances"))
+    free = F.filter(covered(find_spans(F.col("_t"), CANDIDATE, is_candidate), F.col("base")), lambda r: ~r["covered"])
+
+    def instances(blocks: Column) -> Column:
+        seeds = F.transform("base", lambda s: instance(blocks, s["start"], s["end"], cut_out(blocks, s["start"], s["end"]), True))
+        others = F.transform(free, lambda r: instance(blocks, r["start"], r["end"], r["found"], False))
+        return F.concat(seeds, others)
+
+    none = F.array().cast(INSTANCES)
+    told = F.when(F.col("_t").rlike("[0-9@]") | F.col("_t").rlike(CANDIDATE), let(blocks_of(F.col("_t")), instances)).otherwise(none)
+    return spans.select(key, *[f"n_{k}" for k in KINDS[:4]], "base", told.alias("instances"))
 
 
 def reliable_patterns(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -175,18 +180,18 @@ def digest_of(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets; of spans that overlap, the first covers the others."""
-    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-
-    def step(state: Column, s: Column) -> Column:
-        end = -s["back"]
-        piece = F.concat(F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        new = F.struct(end.alias("at"), F.concat(state["parts"], F.array(piece)).alias("parts"))
-        widened = F.struct(F.greatest(end, state["at"]).alias("at"), state["parts"].alias("parts"))
-        return F.when(s["start"] >= state["at"], new).otherwise(widened)
-
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    last = lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(ordered, empty, step, last))
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def shortened(blocks: Column, order: Column, ahead: Column) -> Column:
+        placed = F.transform(order, lambda s, i: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), F.get(ahead, i).alias("ahead")))
+        parts = F.transform(F.filter(placed, lambda s: s["start"] >= s["ahead"]), lambda s: F.concat(
+            cut_out(blocks, s["ahead"], s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
+        rest = cut_out(blocks, F.array_max(F.transform(order, lambda s: s["end"])), F.length(text))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    cut = let(blocks_of(text), lambda b: let(ordered, lambda o: let(ahead_of(o), lambda a: shortened(b, o, a))))
+    return F.when(F.size(spans) == 0, text).otherwise(cut)
 
 
 def mask(df: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.logits import let
-from corpusflow.llm.spans import as_text, find_spans, tagged
+from corpusflow.llm.spans import as_text, covered, find_spans, tagged
 from corpusflow.scratch import materialize
 
 KINDS = ("assign", "access", "hex", "random")
@@ -52,9 +52,8 @@ def with_candidates(df: DataFrame, key: str) -> DataFrame:
     base = F.sort_array(F.concat(kinds["assign"], kinds["access"], kinds["hex"]))
 
     def labelled(spans: Column) -> Column:
-        return F.transform(F.col("_f.runs"), lambda r: F.struct(
-            r["start"].alias("start"), r["end"].alias("end"), r["found"].alias("found"),
-            F.exists(spans, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])).alias("secret")))
+        return F.transform(covered(F.col("_f.runs"), spans), lambda r: F.struct(
+            r["start"].alias("start"), r["end"].alias("end"), r["found"].alias("found"), r["covered"].alias("secret")))
 
     counts = [F.size(kinds[k]).cast("bigint").alias(f"n_{k}") for k in KINDS[:3]]
     return found.select(key, *counts, base.alias("base"), let(base, labelled).alias("candidates"))
