@@ -9,8 +9,7 @@ join on blocks finds every pair within the radius. Sides with fewer than LEAST_H
 shingles skip the fingerprints, which are too rough for them. What is left is verified by
 exact weighted similarity: shingles with their counts, sum of least over sum of largest.
 
-At similarity 0.8 fingerprints differ by 10 bits on average; more than RADIUS = 21
-LEAST_HASHED = 10
+At similarity 0.8 fingerprints differ by 10 bits on average; more than RADIUS
 bits happen with a probability of about 2e-5.
 
 Words are blank-separated and lower-cased. A document shorter than an item is one

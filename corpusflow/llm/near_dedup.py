@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm.words import mix, shingles, slices, word_hashes
-from corpusflow.scratch import materialize
+from corpusflow.scratch import discard, materialize
 
 BANDS, ROWS = 40, 5
 LEADERS = 64  # leaders of a bucket in the second round; twice as many in each later one, up to
@@ -166,8 +166,10 @@ def components(links: DataFrame) -> DataFrame:
     label among its neighbours and jumps to the label of its label, until no label
     changes; the number of rounds grows with the logarithm of the longest chain.
     """
-    stars = materialize(links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint"), "stars").filter("a != b")
+    reduced = materialize(links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint"), "stars")
+    stars = reduced.filter("a != b")
     both = materialize(stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    discard(reduced)
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component")), "labels")
     while True:
         reached = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
@@ -176,8 +178,10 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("at"), F.col("component").alias("farther"))
         step = materialize(near.join(jump, near["component"] == jump["at"], "left").select(
             "node", "old", F.least("component", "farther").alias("component")), "labels")
+        discard(labels)
         labels = step.select("node", "component")
         if step.filter("component < old").isEmpty():
+            discard(both)
             return labels
 
 
@@ -224,6 +228,7 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = materialize(buckets.join(rank, "id").withColumns({"label": F.col("id"), "near": F.lit(None).cast("double")}), "members")
     number = 1
     while True:
+        table = members
         # Later leaders come from outside the component of the bucket's middle.
         first = members.groupBy("bucket").agg(F.max(F.struct("met", "label")).alias("middle"))
         inside = F.lit(False) if number == 1 else F.col("label") == F.col("middle.label")
@@ -246,13 +251,16 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         new = done.filter(F.col("shared") * 100 >= F.col("joint") * percent).select(F.col("leader").alias("a"), F.col("id").alias("b"))
         if found is None or not new.isEmpty():
             known = new if found is None else found.unionByName(new)
-            found = components(known).select(F.col("node").alias("a"), F.col("component").alias("b"))
+            last, found = found, components(known).select(F.col("node").alias("a"), F.col("component").alias("b"))
+            if last is not None:
+                discard(last)
         gone = leaders.select("bucket", F.col("leader").alias("id"))
         rest = members.select("bucket", "id", "met", "mine", "near").join(gone, ["bucket", "id"], "left_anti").join(found, F.col("id") == F.col("a"), "left")
         rest = rest.select("bucket", "id", "met", "mine", "near", F.coalesce("b", "id").alias("label"))
         # Members that are joined already need no comparison, and a bucket of such members is done.
         mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
         members = materialize(rest.join(mixed, "bucket").join(sets.select("id", "spread"), "id"), "buckets")
+        discard(table, meets, done)
         if members.isEmpty():
             return found
         number = min(max(LEADERS, 2 * number), MOST_LEADERS)
@@ -283,6 +291,7 @@ def near_duplicates(
         read = texts.join(wanted.select(F.col("first").alias("id")), "id", "left_semi")
         sets = materialize(read.mapInArrow(_full_sets(size), "id bigint, elements array<bigint>, spread array<int>"), "sets").dropDuplicates(["id"])
         links.append(_links(buckets, sets, percent))
+        discard(buckets, sets)
     found = components(reduce(DataFrame.unionByName, links))
     named = classes.join(found, classes["class"] == found["node"], "left").select(
         classes["class"], "first", F.coalesce("component", classes["class"]).alias("component"))
