@@ -116,13 +116,13 @@ def _found(df: DataFrame, key: str) -> DataFrame:
 
     free = F.filter(covered(find_spans(F.col("_t"), CANDIDATE, is_candidate), F.col("base")), lambda r: ~r["covered"])
 
-    def instances(blocks: Column) -> Column:
+    def instances(blocks: Column, others: Column) -> Column:
         seeds = F.transform("base", lambda s: instance(blocks, s["start"], s["end"], cut_out(blocks, s["start"], s["end"]), True))
-        others = F.transform(free, lambda r: instance(blocks, r["start"], r["end"], r["found"], False))
-        return F.concat(seeds, others)
+        return F.concat(seeds, F.transform(others, lambda r: instance(blocks, r["start"], r["end"], r["found"], False)))
 
     none = F.array().cast(INSTANCES)
-    told = F.when(F.col("_t").rlike("[0-9@]") | F.col("_t").rlike(CANDIDATE), let(blocks_of(F.col("_t")), instances)).otherwise(none)
+    told = let(free, lambda f: F.when(F.size(f) + F.size("base") == 0, none).otherwise(
+        let(blocks_of(F.col("_t")), lambda x: instances(x, f))))
     return spans.select(key, *[f"n_{k}" for k in KINDS[:4]], "base", told.alias("instances"))
 
 
