@@ -44,7 +44,7 @@ def test_spans_of_many_matches_have_their_places(spark):
     assert [text[r.start : r.end] for r in rows] == [str(i) for i in range(3000)]
 
 
-def test_a_twenty_thousand_secrets_in_a_text(spark):
+def test_twenty_thousand_secrets_in_a_text(spark):
     rng = random.Random(4)
     hexes = ["".join(rng.choices("0123456789abcdef", k=24)) for _ in range(20_000)]
     df = spark.createDataFrame([(1, " ".join(hexes)), (2, "an_ordinary_identifier_here and " + hexes[0])], "doc_id bigint, text string")
@@ -55,7 +55,7 @@ def test_a_twenty_thousand_secrets_in_a_text(spark):
     assert time.time() - began < 60
 
 
-def test_personal_data_masked_a_twenty_thousand_times(spark):
+def test_personal_data_masked_twenty_thousand_times(spark):
     text = "".join(f"mail: user{i}@example.org " for i in range(20_000))
     df = spark.createDataFrame([(1, text), (2, None), (3, "call +1 212 555 0100 now")], "doc_id bigint, text string")
     began = time.time()
