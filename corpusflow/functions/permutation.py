@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,18 +30,24 @@ def round_keys(seed: int, epoch: int, rounds: int = ROUNDS) -> list[tuple[int, i
 def permuted(index: Column, n: Column | int, seed: int = 0, epoch: int = 0, rounds: int = ROUNDS) -> Column:
     """Place of `index` (0 .. n-1) in the order of this seed and epoch; `n` up to 2**61."""
     n = F.lit(n).cast("bigint") if isinstance(n, int) else n.cast("bigint")
-    keys = F.array(*[F.struct(F.lit(turn).cast("bigint").alias("turn"), F.lit(key).cast("bigint").alias("key")) for turn, key in round_keys(seed, epoch, rounds)])
-
-    def turned(x: Column, key: Column) -> Column:
-        other = F.pmod(key["turn"] % n - x, n)
-        return F.when(_bit(F.greatest(x, other), key["key"]) == 1, other).otherwise(x)
-
-    return F.aggregate(keys, index.cast("bigint"), turned)
-
-
-def _bit(x: Column, key: Column) -> Column:
-    folded = x.bitwiseAND(F.lit(MASK)).bitwiseXOR(F.shiftright(x, 31)).bitwiseXOR(key)
-    mixed = (folded * FIRST).bitwiseAND(F.lit(MASK))
-    mixed = mixed.bitwiseXOR(F.shiftright(mixed, 15))
-    mixed = (mixed * SECOND).bitwiseAND(F.lit(MASK))
-    return F.shiftright(mixed, 17).bitwiseAND(F.lit(1))
+    keys = round_keys(seed, epoch, rounds)
+
+    def places(indexes: pa.Array, sizes: pa.Array) -> pa.Array:
+        valid = pc.and_(indexes.is_valid(), sizes.is_valid())
+        x = pc.if_else(valid, indexes, 0).to_numpy(zero_copy_only=False)
+        size = pc.if_else(valid, sizes, 1).to_numpy(zero_copy_only=False)
+        for turn, key in keys:
+            other = (turn % size - x) % size
+            x = np.where(_bit(np.maximum(x, other), key) == 1, other, x)
+        return pc.if_else(valid, pa.array(x, pa.int64()), None)
+
+    # Not to be moved: a filter on the place, pushed below the cut of windows, would carry whole blocks of tokens.
+    return F.arrow_udf(places, "bigint").asNondeterministic()(index.cast("bigint"), n)
+
+
+def _bit(x: np.ndarray, key: int) -> np.ndarray:
+    folded = x & MASK ^ x >> 31 ^ key
+    mixed = folded * FIRST & MASK
+    mixed ^= mixed >> 15
+    mixed = mixed * SECOND & MASK
+    return mixed >> 17 & 1
