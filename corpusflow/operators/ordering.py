@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusflow.scratch import materialize
 
@@ -27,18 +26,20 @@ SAMPLED_KEYS = 10_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def _append_running_sum(weight: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _running_sum(weight: str) -> Column:
+    """Sum of the weights of the earlier rows of the partition. Only the weights go to Python, not the rows."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         before = 0
         for batch in batches:
-            values = batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = batch.to_numpy(zero_copy_only=False).astype(np.int64)
             ends = before + np.cumsum(values)
-            starts = pa.array(ends - values)
             if len(values):
                 before = int(ends[-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, starts], names=[*batch.schema.names, _LOCAL_WEIGHT])
+            yield pa.array(ends - values)
 
-    return run
+    # It depends on the rows before it, so it must be evaluated once and where it stands.
+    return F.arrow_udf(run, "bigint").asNondeterministic()(weight)
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -70,8 +71,7 @@ def ordered_layout(
         ranged = derive(df.repartitionByRange(shuffle_partitions(df), *columns).sortWithinPartitions(*keys))
     columns = ranged.columns
     if weight is not None:
-        schema = T.StructType([*ranged.schema.fields, T.StructField(_LOCAL_WEIGHT, T.LongType(), False)])
-        ranged = ranged.mapInArrow(_append_running_sum(weight), schema)
+        ranged = ranged.withColumn(_LOCAL_WEIGHT, _running_sum(weight))
     numbered = ranged.withColumn("_row", F.monotonically_increasing_id())
     local = numbered.withColumn(PART, F.shiftright("_row", _ROW_BITS).cast("int")).withColumn(
         _LOCAL, F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
