@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from corpusflow.operators.bpe import Tokenizer, train_bpe
 from corpusflow.operators.samples import (
@@ -21,10 +22,13 @@ from corpusflow.operators.windows import (
     place_batches,
     shuffle_examples,
     sliding_windows,
+    split_window,
     window_count,
 )
 from corpusflow.scratch import materialize
 
+SMALL_IDS = 1 << 15  # as many ids fit into a smallint
+
 
 def create_dataset_splits(
     train: DataFrame,
@@ -76,12 +80,15 @@ def make_training_batches(
     windows stay where they were cut.
     """
     stream = encoded_stream(samples, keys, tokenizer)
-    windows = sliding_windows(stream, seq_length, stride)
+    if tokenizer.vocab_size <= SMALL_IDS:  # ids cross each shuffle in two bytes
+        stream = stream.withColumn("ids", F.col("ids").cast("array<smallint>"))
+    windows = sliding_windows(stream, seq_length, stride, joined=True)
     if training and sort:
         shuffled = shuffle_examples(windows, seed=seed, epoch=epoch)
+        shuffled = shuffled.withColumn("shuffle_key", F.unhex("shuffle_key"))  # half the bytes in the same order
         batches = assign_batches(shuffled, ["shuffle_key", "window_start"], batch_size, drop_last=True)
     else:
         count = window_count(stream, seq_length, stride) if training else 0
         batches = place_batches(windows, count, stride, batch_size, (seed, epoch) if training else None)
-    batches = batches.select("batch_id", "slot", "window_start", "input_ids", "labels")
+    batches = split_window(batches.select("batch_id", "slot", "window_start", "tokens"), seq_length)
     return batches.withColumns(collate) if collate else batches
