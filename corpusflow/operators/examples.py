@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.sequences import MASK, PAD, count_of, mask_tokens, masked_labels, next_token_labels
+from corpusflow.functions.logits import IGNORE_INDEX
+from corpusflow.functions.sequences import MASK, PAD, count_of, ids_text, mask_tokens, masked_labels, next_token_labels, pad_ids
 from corpusflow.operators.bpe import Tokenizer
-from corpusflow.operators.encode import encode_batches
+from corpusflow.operators.encode import as_encoding, batch_ids, encode_batches, others
 
 
 def prepare_inputs(
@@ -17,9 +18,10 @@ def prepare_inputs(
     max_length: int | None = None,
     padding: bool = True,
     truncation: bool = True,
+    text: bool = False,
 ) -> DataFrame:
-    """Encoded batches, padded and truncated by default."""
-    return encode_batches(df, tokenizer, batch, True, truncation, max_length, padding)
+    """Encoded batches, padded and truncated by default; with `text` the ids as space-separated text."""
+    return encode_batches(df, tokenizer, batch, True, truncation, max_length, padding, text)
 
 
 def with_causal_labels(inputs: DataFrame, label_pad_id: int = PAD) -> DataFrame:
@@ -41,14 +43,34 @@ def with_masked_labels(
     return masked.withColumn("labels", labels).withColumn("input_ids", F.col("_masked")).drop("_masked")
 
 
-def causal_lm_inputs(df: DataFrame, tokenizer: Tokenizer, label_pad_id: int = PAD, **options) -> DataFrame:
-    return with_causal_labels(prepare_inputs(df, tokenizer, **options), label_pad_id)
+def causal_lm_inputs(df: DataFrame, tokenizer: Tokenizer, label_pad_id: int = PAD, batch: str = "batch_id", max_length: int | None = None,
+                     padding: bool = True, truncation: bool = True, text: bool = False) -> DataFrame:
+    """Inputs and their next-token labels; the ids are shifted before they are padded."""
+    encoded, length, pad = batch_ids(df, tokenizer, batch, True, truncation, max_length, padding)
+    ids = F.col("ids")
+    shifted = F.slice(ids, F.lit(2), F.greatest(F.size(ids) - 1, F.lit(0)))
+    before_last = (F.lit(length) if isinstance(length, int) else length) - 1 if padding else None
+    if text:
+        labels = F.ltrim(F.concat(ids_text(shifted, before_last, pad), F.lit(f" {label_pad_id}")))
+    else:
+        labels = F.concat(pad_ids(shifted, before_last, pad), F.array(F.lit(label_pad_id)))
+    return encoded.select(*others(df), *as_encoding(ids, length, padding, pad, text), labels.alias("labels"))
 
 
 def masked_lm_inputs(df: DataFrame, tokenizer: Tokenizer, row_key: Column, mask_prob: float = 0.15, seed: int = 0,
-                     only_changed: bool = False, **options) -> DataFrame:
-    inputs = prepare_inputs(df, tokenizer, **options)
-    return with_masked_labels(inputs, row_key, tokenizer.vocab_size, mask_prob, seed, only_changed)
+                     only_changed: bool = False, batch: str = "batch_id", max_length: int | None = None, padding: bool = True,
+                     truncation: bool = True, text: bool = False) -> DataFrame:
+    """Masked inputs and their labels. Padding is never masked, so the ids are masked before they are padded."""
+
+    def masked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_masked", mask_tokens(F.col("ids"), row_key, tokenizer.vocab_size, mask_prob, seed))
+
+    encoded, length, pad = batch_ids(df, tokenizer, batch, True, truncation, max_length, padding, masked)
+    labels = masked_labels(F.col("ids"), F.col("_masked"), only_changed)
+    fill = IGNORE_INDEX if only_changed else pad
+    wanted = length if padding else None
+    labels = ids_text(labels, wanted, fill) if text else pad_ids(labels, wanted, fill)
+    return encoded.select(*others(df), *as_encoding(F.col("_masked"), length, padding, pad, text), labels.alias("labels"))
 
 
 def masked_token_count(inputs: DataFrame, ids: str = "input_ids") -> DataFrame:
