@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.logits import let
 from corpusflow.llm.quality import words_of
+from corpusflow.operators.ordering import shuffle_partitions
 from corpusflow.scratch import materialize
 
 SHINGLE = 5
@@ -34,6 +35,7 @@ RADIUS = 21
 LEAST_HASHED = 10
 BITS = 64
 BROADCAST_SHINGLES = 500_000  # a shingle takes about 40 bytes
+ROW_BUCKETS = 1 << 19  # buckets of rows with enough shared shingles: at most as many are broadcast
 
 
 def shingle_hashes(words: Column, size: int) -> Column:
@@ -118,7 +120,12 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", item_ke
     enough = places.filter(F.size("at") >= LEAST_SIMILARITY * (F.col("n") - F.col("size") + 1) - 1e-9)
     wanted = materialize(enough.groupBy("_text").agg(F.collect_list(F.struct("item", "n", "size", "at")).alias("cuts")), "seeds")
 
-    met = docs.join(wanted, "_text").select("doc", "_text", words_of(F.col("t")).alias("w"), "cuts")
+    # Most rows share too little with any item. A bounded set of buckets keeps their texts out of the shuffle.
+    bucket = F.pmod(F.col("_text"), F.lit(ROW_BUCKETS))
+    buckets = wanted.select(bucket.alias("_bucket")).distinct()
+    near_rows = docs.join(F.broadcast(buckets), bucket == F.col("_bucket"), "left_semi")
+    # Windows multiply the rows after the shuffle, so its partitions are not merged by their size before that.
+    met = near_rows.repartition(shuffle_partitions(df), "_text").join(wanted, "_text").select("doc", "_text", words_of(F.col("t")).alias("w"), "cuts")
 
     def window(words: Column, cut: Column, at: Column) -> Column:
         part = F.slice(words, at + 1, cut["n"])
