@@ -41,12 +41,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), 1)
 
 
-def words_by_line(text: Column) -> Column:
-    """Words as training counts them: each line on its own, with its line break, as if written to a file."""
-    lines = F.split(text, "\n")
-    return F.flatten(F.transform(lines, lambda line: words_of(F.concat(line, F.lit("\n")))))
-
-
 def pieces_of(text: Column) -> Column:
     """Words for encoding: special tokens written in the text stay whole."""
     special = "|".join(t.replace("[", r"\[").replace("]", r"\]") for t in SPECIAL_TOKENS)
