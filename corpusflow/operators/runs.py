@@ -174,7 +174,7 @@ def throughput_summary(steps: DataFrame, run: str = "run_id") -> DataFrame:
 def epoch_estimate(summary: DataFrame, batch_size: int, seq_length: int, batches: Column | int) -> DataFrame:
     """Tokens in one epoch, and the seconds they take at the measured rate."""
     batches = F.lit(batches) if isinstance(batches, int) else batches
-    tokens = (F.lit(batch_size * seq_length) * batches).cast("bigint")
+    tokens = F.lit(batch_size * seq_length).cast("bigint") * batches.cast("bigint")  # an epoch may have over 2**31 tokens
     return summary.withColumn("tokens_per_epoch", tokens).withColumn(
         "seconds_per_epoch", F.try_divide(F.col("tokens_per_epoch"), F.col("tokens_per_sec"))
     )

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.operators import runs
 
@@ -151,6 +152,13 @@ def test_throughput(spark):
     assert {r["epoch"]: r["epoch_loss"] for r in runs.epoch_loss(losses).collect()} == {0: 3.0, 1: 1.0}
 
 
+def test_an_epoch_may_have_over_two_to_the_31_tokens(spark):
+    steps = spark.createDataFrame([("r", 100, 0.5, 1.0)], "run_id string, tokens bigint, seconds double, mem_mb double")
+    for n, batches in ((1 << 21, 1 << 21), (1 << 21, F.lit(1 << 21)), (1 << 40, 1 << 40)):
+        row = runs.epoch_estimate(runs.throughput_summary(steps), 16, 128, batches).first()
+        assert (row["tokens_per_epoch"], row["seconds_per_epoch"]) == (2048 * n, 2048 * n / 200.0)
+
+
 def test_newest_rows_beyond_the_rank_limit(spark):
     rows = [("hot", i, float(i)) for i in range(3000)] + [("rare", i, float(i)) for i in range(5)]
     table = log(spark, rows).repartition(4)
