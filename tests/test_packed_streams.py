@@ -60,6 +60,13 @@ def test_windows_of_packed_streams(spark, monkeypatch):
         assert [r["block_start"] for r in rows] == sorted({s // size * size for s, _, _ in wanted})
 
 
+def test_the_shuffle_of_windows_moves_packed_ids(spark):
+    cut = windows.sliding_windows(windows.encoded_stream(texts(spark), ["k"], BASE, True), 16)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    moved = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert "piece" in plan[moved + 1] and "MapInArrow" in plan[moved + 1]
+
+
 def test_digests_of_slices(monkeypatch):
     raw = np.random.default_rng(1).integers(0, 256, 700, dtype=np.uint8)
     sizes = np.array([*range(0, 260), 511, 512, 513, 600])
