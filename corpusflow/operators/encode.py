@@ -251,14 +251,17 @@ def batch_ids(
 ) -> tuple[DataFrame, int | Column | None, int]:
     """Rows with their `ids` before padding, the length to pad them to and the padding id.
 
-    `derive` may add columns to the encoded rows before those of a batch are brought together.
+    The length of a batch is found from sizes alone and joined to its texts, which are then
+    encoded again: ids, several times as large, and what `derive` adds to them never cross a shuffle.
     """
-    encoded = _finished(df, tokenizer, special_tokens, max_length if truncation else None)
-    encoded = derive(encoded) if derive else encoded
     length: int | Column | None = max_length
     if padding and max_length is None:
-        encoded = with_batch_length(encoded, batch)
+        sizes = _finished(df.select(batch, "text"), tokenizer, special_tokens, None).select(F.col(batch).alias("_batch"), F.size("ids").alias("_size"))
+        longest = sizes.groupBy("_batch").agg(F.max("_size").alias("batch_length"))
+        df = df.join(longest, F.col(batch).eqNullSafe(F.col("_batch"))).drop("_batch")
         length = F.col("batch_length")
+    encoded = _finished(df, tokenizer, special_tokens, max_length if truncation else None)
+    encoded = derive(encoded) if derive else encoded
     return encoded, length, special_id(tokenizer, PAD) if padding else PAD
 
 

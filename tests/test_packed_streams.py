@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import slice_digests
 from corpusflow.functions.packed import pack, packed_size, unpack
-from corpusflow.operators import encode, windows
+from corpusflow.operators import encode, examples, windows
 from corpusflow.operators.bpe import Tokenizer
 
 BASE = Tokenizer.base()
@@ -76,3 +76,15 @@ def test_digests_of_slices(monkeypatch):
         monkeypatch.setattr("corpusflow.functions.hashing.LANES", lanes)
         assert [row.tobytes() for row in slice_digests(raw, starts, sizes)] == wanted
     assert slice_digests(raw, starts[:0], sizes[:0]).shape == (0, 16)
+
+
+def test_ids_of_padded_batches_cross_no_shuffle(spark):
+    rows = [(i, None if i % 5 == 0 else i // 4, "x" * (i * 7 % 23)) for i in range(40)] + [(1, 0, "twice"), (1, 0, "twice")]
+    df = spark.createDataFrame(rows, "doc_id int, batch_id int, text string")
+    made = examples.masked_lm_inputs(df, BASE, F.col("doc_id"), 0.5)
+    longest = {b: max(len(t) for _, c, t in rows if c == b) + 2 for _, b, _ in rows}
+    got = made.collect()
+    assert len(got) == len(rows) and all(len(r["input_ids"]) == len(r["labels"]) == longest[r["batch_id"]] for r in got)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Join")]
+    assert "Window" not in plan and "MapInArrow" in above and "ArrowEvalPython" in above
